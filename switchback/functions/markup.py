@@ -8,6 +8,7 @@ Only elements that extraction can ask for are listed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -145,10 +146,19 @@ def inside(node: Column, element: Column) -> Column:
     return (node["pre"] > element["pre"]) & (node["pre"] <= element["post"])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, not once per use or per array entry."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def text_of(element: Column, texts: Column, sep: str = " ") -> Column:
     """Visible text of an element, its pieces joined by ``sep``; NULL for a NULL element."""
-    pieces = F.filter(texts, lambda t: ~t["comment"] & inside(t, element))
-    return F.when(element.isNotNull(), F.array_join(F.transform(pieces, lambda t: t["text"]), sep))
+
+    def joined(e: Column) -> Column:
+        pieces = F.filter(texts, lambda t: ~t["comment"] & inside(t, e))
+        return F.when(e.isNotNull(), F.array_join(F.transform(pieces, lambda t: t["text"]), sep))
+
+    return let(element, joined)
 
 
 def first(elements: Column) -> Column:
@@ -158,4 +168,4 @@ def first(elements: Column) -> Column:
 def under(elements: Column, container: str, tag: str) -> Column:
     """Elements of a tag below any element of a class."""
     holders = F.filter(elements, lambda e: has_class(e, container))
-    return F.filter(elements, lambda e: (e["tag"] == tag) & F.exists(holders, lambda h: inside(e, h)))
+    return let(holders, lambda hs: F.filter(elements, lambda e: (e["tag"] == tag) & F.exists(hs, lambda h: inside(e, h))))

@@ -43,10 +43,17 @@ def failed_urls(pages: DataFrame, trails: DataFrame) -> DataFrame:
 
 def feature_list(texts: Column, max_len: int = V.FEATURE_MAX_LEN, n: int = V.FEATURE_MAX_COUNT) -> Column:
     """First ``n`` short entries, letter case aside each once, as one text; NULL when there are none."""
-    short = F.filter(texts, lambda t: F.length(t) < max_len)
-    lowered = F.transform(short, F.lower)
-    fresh = F.filter(short, lambda t, i: F.array_position(lowered, F.lower(t)) == i + 1)
-    return blank_to_null(F.array_join(F.slice(fresh, 1, n), ", "))
+    none = F.array().cast("array<string>")
+
+    def take(state: Column, t: Column) -> Column:
+        fresh = (F.length(t) < max_len) & (F.size(state["kept"]) < n) & ~F.array_contains(state["seen"], F.lower(t))
+        return F.struct(
+            F.when(fresh, F.concat(state["kept"], F.array(t))).otherwise(state["kept"]).alias("kept"),
+            F.when(fresh, F.concat(state["seen"], F.array(F.lower(t)))).otherwise(state["seen"]).alias("seen"),
+        )
+
+    kept = F.aggregate(texts, F.struct(none.alias("kept"), none.alias("seen")), take)["kept"]
+    return blank_to_null(F.array_join(kept, ", "))
 
 
 # ---- shared parts of a page ---------------------------------------------------
@@ -56,14 +63,17 @@ def with_outline(pages: DataFrame, html: str = "html") -> DataFrame:
     """Adds the parsed arrays and the page-wide texts the field expressions share."""
     parsed = pages.withColumn("_nodes", M.page_nodes(F.col(html))).select("*", "_nodes.elements", "_nodes.texts").drop("_nodes")
     elements, texts = F.col("elements"), F.col("texts")
-    dds = F.filter(elements, lambda e: e["tag"] == "dd")
+    dts, dds = (F.filter(elements, lambda e: e["tag"] == "dt"), F.filter(elements, lambda e: e["tag"] == "dd"))
 
-    def labelled(dt: Column) -> Column:
+    def labelled(dt: Column, dds: Column) -> Column:
         dd = M.first(F.filter(dds, lambda d: (d["parent"] == dt["parent"]) & (d["pre"] > dt["pre"])))
-        return F.struct(
-            F.lower(M.text_of(dt, texts)).alias("label"),
-            M.text_of(dd, texts).alias("value"),
-            M.text_of(dd, texts, "").alias("tight"),
+        return M.let(
+            dd,
+            lambda d: F.struct(
+                F.lower(M.text_of(dt, texts)).alias("label"),
+                M.text_of(d, texts).alias("value"),
+                M.text_of(d, texts, "").alias("tight"),
+            ),
         )
 
     def stat_texts(found: Column) -> Column:
@@ -75,9 +85,7 @@ def with_outline(pages: DataFrame, html: str = "html") -> DataFrame:
     linked = F.filter(scripts, lambda e: F.coalesce(M.attr(e, "type") == "application/ld+json", F.lit(False)))
     return parsed.withColumns(
         {
-            "definitions": F.filter(
-                F.transform(F.filter(elements, lambda e: e["tag"] == "dt"), labelled), lambda p: p["value"].isNotNull()
-            ),
+            "definitions": M.let(dds, lambda ds: F.filter(F.transform(dts, lambda dt: labelled(dt, ds)), lambda p: p["value"].isNotNull())),
             "stat_blocks": stat_texts(F.when(F.size(listed) > 0, listed).otherwise(single)),
             "page_text": F.array_join(visible, " "),
             "page_lines": F.split(F.array_join(visible, "\n"), "\n"),
@@ -154,10 +162,11 @@ def description(containers=V.DESCRIPTION_CONTAINERS, min_len: int = V.DESCRIPTIO
         return M.first(F.filter("elements", tests[kind]))
 
     found = []
-    for rank, (kind, name) in enumerate(containers):
+    for kind, name in containers:
         cleaned = X.clean_noise(M.text_of(box_of(kind, name), F.col("texts")))
-        found.append(F.struct(F.length(cleaned).alias("n"), F.lit(-rank).alias("rank"), cleaned.alias("text")))
-    longest = F.array_max(F.filter(F.array(*found), lambda c: c["n"] >= min_len))["text"]
+        found.append(cleaned)
+    ranked = F.transform(F.array(*found), lambda c, i: F.struct(F.length(c).alias("n"), (-i).alias("rank"), c.alias("text")))
+    longest = F.array_max(F.filter(ranked, lambda c: c["n"] >= min_len))["text"]
     meta = _meta("name", "description")
     return F.coalesce(longest, F.when(meta.isNotNull(), X.clean_noise(meta)))
 
@@ -181,7 +190,7 @@ def raw_features() -> Column:
     lines = F.filter(
         F.transform(F.split(F.coalesce(M.text_of(section, texts, "\n"), F.lit("")), "\n"), strip), lambda t: t != ""
     )
-    spoken = F.filter(F.transform(texts, lambda t: t["text"]), lambda t: X.contains_any(F.lower(t), V.FEATURE_KEYWORDS))
+    spoken = F.filter(F.transform(texts, lambda t: t["text"]), lambda t: t.rlike("(?iU)" + "|".join(V.FEATURE_KEYWORDS)))
     return (
         F.when(F.size(badge_texts) > 0, feature_list(badge_texts))
         .when(F.size(defined) > 0, blank_to_null(M.first(defined)["value"]))
@@ -342,7 +351,7 @@ def parking_text() -> Column:
             lambda e: e["tag"].isin("h2", "h3") & F.contains(F.lower(M.text_of(e, texts)), F.lit("getting there")),
         )
     )
-    around = M.first(F.filter(elements, lambda e: e["pre"] == title["parent"]))
+    around = M.let(title["parent"], lambda up: M.first(F.filter(elements, lambda e: e["pre"] == up)))
     return blank_to_null(X.clean_noise(M.text_of(F.coalesce(section, around, title), texts)))
 
 

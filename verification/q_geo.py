@@ -13,6 +13,7 @@ from switchback.operators import matching as MT
 from switchback.operators import tracks as TR
 from switchback.operators.stitching import stitch_trailheads, stitched_lines
 from switchback.plans.enrich import attach_enrichment, enrich_trails
+from switchback.session import cut_lineage
 from verification import sql_parts as Q
 from verification.registry import query
 
@@ -228,7 +229,8 @@ def relation_points(t):
 
 
 def features(t) -> DataFrame:
-    return MT.read_features(elements(t.f_ways))
+    """The feature table, landed once per query as a job would find it."""
+    return cut_lineage(MT.read_features(elements(t.f_ways)))
 
 
 @query(
@@ -269,7 +271,7 @@ def best_sql(stop: float) -> str:
 st AS (SELECT trail_id, coalesce(min(tier) FILTER (score >= {stop}), 4) AS last FROM sc GROUP BY trail_id),
 rk AS (SELECT sc.*, row_number() OVER (PARTITION BY sc.trail_id ORDER BY score DESC, tier, osm_type DESC, osm_id) AS n
   FROM sc JOIN st ON st.trail_id = sc.trail_id WHERE tier <= last)
-SELECT t.trail_id, rk.osm_type, rk.osm_id, rk.tier, CASE WHEN t.lat IS NULL THEN NULL ELSE coalesce({Q.rnd('least(1.0::DOUBLE, rk.score)', 3)}, 0.0::DOUBLE) END AS match_confidence
+SELECT t.trail_id, rk.osm_type, rk.osm_id, rk.tier, CASE WHEN t.lat IS NULL THEN NULL WHEN rk.score IS NULL THEN 0.0::DOUBLE ELSE {Q.rnd('least(1.0::DOUBLE, rk.score)', 3)} END AS match_confidence
 FROM {{f_trailheads}} t LEFT JOIN (SELECT * FROM rk WHERE n = 1) rk ON rk.trail_id = t.trail_id"""
 
 

@@ -222,12 +222,12 @@ def page_heading(t):
 @query(
     "page_clean_text",
     "SELECT page_id, "
-    + Q.squeeze(r"regexp_replace(regexp_replace(html, '(?s)<[^>]*>', ' ', 'g'), '(?i)\bMIT\b|\bLicense\b', '', 'g')")
+    + Q.squeeze(r"regexp_replace(regexp_replace(html, '(?s)<[^>]*>', ' ', 'g'), '(?i)\bReleased\b|\bLicense\b', '', 'g')")
     + " AS cleaned FROM {pages}",
 )
 def page_clean_text(t):
     text = F.regexp_replace("html", r"(?s)<[^>]*>", " ")
-    return t.pages.select("page_id", X.clean_noise(text, ["MIT", "License"]).alias("cleaned"))
+    return t.pages.select("page_id", X.clean_noise(text, ["Released", "License"]).alias("cleaned"))
 
 
 DESC = Q.squeeze(r"regexp_replace(" + _decoded(rf"regexp_replace({ARTICLE}, '(?s)<[^>]*>', ' ', 'g')") + r", '(?i)\bprint\b|\bemail\b', '', 'g')")
