@@ -211,7 +211,7 @@ def lower_percentile(c: Column, q: float) -> Column:
     For groups of bounded size (resampled lines); it sorts the group in memory.
     """
     values = F.array_sort(F.collect_list(c))
-    return F.try_element_at(values, (F.floor(F.lit(q) * (F.size(values) - 1)) + 1).cast("int"))
+    return F.get(values, F.floor(F.lit(q) * (F.size(values) - 1)).cast("int"))
 
 
 def encode_polylines(samples: DataFrame, key: str = "feature_id", out: str = "geometry_polyline") -> DataFrame:
