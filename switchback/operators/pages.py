@@ -6,6 +6,8 @@ expression over those arrays, so the whole extraction is one narrow stage.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +64,12 @@ def feature_list(texts: Column, max_len: int = V.FEATURE_MAX_LEN, n: int = V.FEA
 def with_outline(pages: DataFrame, html: str = "html") -> DataFrame:
     """Adds the parsed arrays and the page-wide texts the field expressions share."""
     parsed = pages.withColumn("_nodes", M.page_nodes(F.col(html))).select("*", "_nodes.elements", "_nodes.texts").drop("_nodes")
+    return parsed.withColumns(_shared_parts())
+
+
+@cache
+def _shared_parts() -> dict[str, Column]:
+    """Built once per process; the expressions name columns, not a DataFrame."""
     elements, texts = F.col("elements"), F.col("texts")
     dts, dds = (F.filter(elements, lambda e: e["tag"] == "dt"), F.filter(elements, lambda e: e["tag"] == "dd"))
 
@@ -83,16 +91,14 @@ def with_outline(pages: DataFrame, html: str = "html") -> DataFrame:
     listed, single = M.under(elements, "hike-stats", "li"), F.filter(elements, lambda e: M.has_class(e, "hike-stat"))
     scripts = F.filter(elements, lambda e: (e["tag"] == "script") & e["text"].isNotNull())
     linked = F.filter(scripts, lambda e: F.coalesce(M.attr(e, "type") == "application/ld+json", F.lit(False)))
-    return parsed.withColumns(
-        {
-            "definitions": M.let(dds, lambda ds: F.filter(F.transform(dts, lambda dt: labelled(dt, ds)), lambda p: p["value"].isNotNull())),
-            "stat_blocks": stat_texts(F.when(F.size(listed) > 0, listed).otherwise(single)),
-            "page_text": F.array_join(visible, " "),
-            "page_lines": F.split(F.array_join(visible, "\n"), "\n"),
-            "scripts": F.transform(scripts, lambda e: e["text"]),
-            "linked_data": F.transform(linked, lambda e: e["text"]),
-        }
-    )
+    return {
+        "definitions": M.let(dds, lambda ds: F.filter(F.transform(dts, lambda dt: labelled(dt, ds)), lambda p: p["value"].isNotNull())),
+        "stat_blocks": stat_texts(F.when(F.size(listed) > 0, listed).otherwise(single)),
+        "page_text": F.array_join(visible, " "),
+        "page_lines": F.split(F.array_join(visible, "\n"), "\n"),
+        "scripts": F.transform(scripts, lambda e: e["text"]),
+        "linked_data": F.transform(linked, lambda e: e["text"]),
+    }
 
 
 def _first_of(*choices: Column) -> Column:
@@ -358,16 +364,9 @@ def parking_text() -> Column:
 # ---- assembly ---------------------------------------------------------------------------
 
 
-def extract_pages(pages: DataFrame, heading_class: str | None = V.HEADING_CLASS) -> DataFrame:
-    """(url, html) rows to trail rows; pages without a title give none.
-
-    Pages that cannot hold the title element are dropped before parsing.
-    """
-    mark = heading_class or "<h1"
-    outlined = with_outline(pages.filter(F.contains(F.lower("html"), F.lit(mark.lower()))))
-    named = outlined.withColumn("name", page_name(heading_class)).filter(F.col("name").isNotNull())
-    fields = named.select(
-        "url", "name",
+@cache
+def _read_fields() -> list[Column]:
+    return [
         stat("Length").alias("raw_length"),
         stat("Gain").alias("raw_gain"),
         stat("Highpoint", "High Point", "Highest Point").alias("raw_high"),
@@ -378,7 +377,18 @@ def extract_pages(pages: DataFrame, heading_class: str | None = V.HEADING_CLASS)
         description().alias("description"),
         raw_features().alias("raw_features"),
         image_url().alias("image_url"),
-    )
+    ]
+
+
+def extract_pages(pages: DataFrame, heading_class: str | None = V.HEADING_CLASS) -> DataFrame:
+    """(url, html) rows to trail rows; pages without a title give none.
+
+    Pages that cannot hold the title element are dropped before parsing.
+    """
+    mark = heading_class or "<h1"
+    outlined = with_outline(pages.filter(F.contains(F.lower("html"), F.lit(mark.lower()))))
+    named = outlined.withColumn("name", page_name(heading_class)).filter(F.col("name").isNotNull())
+    fields = named.select("url", "name", *_read_fields())
     trail = fields.select(
         slug_id(F.col("url")).alias("id"),
         "name",
