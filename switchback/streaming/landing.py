@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from switchback import schemas as S
 from switchback.plans.weekly import RunParams, weekly_job
-from switchback.sources.writers import current_version, read_runs
+from switchback.sources.writers import current_version, read_runs, write_stage
 
 
 def _next_time(spark: SparkSession, store: str) -> datetime:
@@ -43,13 +43,17 @@ def run_landed(
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        log = read_runs(batch.sparkSession, store)
-        done = log.filter(F.endswith("run_id", F.lit(f"_b{number}")) & (F.col("status") == "success"))
+        tag = f"b{number}"
+        done = read_runs(spark, store).filter(F.endswith("run_id", F.lit(f"_{tag}")) & (F.col("status") == "success"))
         if not done.isEmpty():
             return
-        listing = batch.select("url").distinct().withColumn("pos", F.xxhash64("url"))
-        params = RunParams.at(_next_time(batch.sparkSession, store), f"b{number}", max_pages=None, **options)
-        weekly_job(batch.sparkSession, store, listing, batch, features(), elevations(), params)
+        params = RunParams.at(_next_time(spark, store), tag, max_pages=None, **options)
+        # landed once and read back in the caller's session: the batch's own session
+        # re-reads the source on every action and may run without adaptive plans
+        write_stage(batch.select("url", "html"), store, params.run_id, "landed")
+        pages = spark.read.parquet(f"{store}/stages/run_id={params.run_id}/stage=landed")
+        listing = pages.select("url").distinct().withColumn("pos", F.xxhash64("url"))
+        weekly_job(spark, store, listing, pages, features(), elevations(), params)
 
     source = spark.readStream.schema(S.PAGE).option("maxFilesPerTrigger", max_files).parquet(landing)
     return (

@@ -95,11 +95,11 @@ def test_landing_stream(spark, tmp_path):
         spark.createDataFrame([(BASE + n, h, 200) for n, h in pages.items()], S.PAGE).coalesce(1).write.mode("append").parquet(landing)
         run_landed(spark, landing, store, mark, lambda: features, lambda: None).awaitTermination()
 
-    land({"a": page("Alpha"), "b": page("Beta")})
-    land({"b": page("Beta", "closed"), "c": page("Gamma")})
+    land({"a": page("Alpha"), "c": page("Gamma")})
     trails = W.read_current(spark, store, "trails", S.store_schema(), W.current_version(spark, store))
-    assert sorted(r["name"] for r in trails.collect()) == ["Alpha", "Beta", "Gamma"]
-    assert W.read_runs(spark, store).count() == 2
+    assert sorted(r["name"] for r in trails.collect()) == ["Alpha", "Gamma"]
+    run_landed(spark, landing, store, mark, lambda: features, lambda: None).awaitTermination()  # nothing new
+    assert W.read_runs(spark, store).count() == 1
 
 
 def test_upsert(spark):
