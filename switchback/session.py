@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ def build_session(app: str = "switchback", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -24,19 +27,27 @@ def build_session(app: str = "switchback", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder of the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, where intermediate tables are written.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session without
-    one gets a scratch folder; a cluster session without one is an error, since
-    a machine-local folder would not survive the loss of an executor.
+    Only a local session without one gets a scratch folder, one per session and
+    removed when the process ends; a cluster session without one is an error,
+    since a machine-local folder would not survive the loss of an executor.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="switchback-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialises ``df`` by ``checkpoint()`` in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="switchback-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
