@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchback.llm import bpe, line_dedup, mixing, repetition
+from switchback.llm import bpe, line_dedup, mixing, near_dedup, repetition
 from switchback.session import shared_folder
 
 
@@ -24,6 +24,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumns(new).select(*docs.columns)
 
 
+def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies."""
+    return near_dedup.keep_first(docs)
+
+
 def sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
@@ -39,7 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("quality rules", rules), ("line dedup", lines), ("mixing", sources), ("byte-level BPE", tokens)]
+STAGES = [("quality rules", rules), ("line dedup", lines), ("near-dedup", copies), ("mixing", sources), ("byte-level BPE", tokens)]
 
 #: SQL can't express suffix arrays or BPE; tests/llm compares each stage with a brute-force version.
 ORACLE_SQL = None

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchback.llm import bpe, line_dedup, mixing, repetition
+from switchback.llm import bpe, line_dedup, mixing, near_dedup, repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +54,16 @@ def op5_bpe(spark, sf_dir):
     )
 
 
+@query
+def op8_minhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = near_dedup.near_components(docs)
+    known = lambda c: F.when(F.col(c) != 2**63 - 1, F.col(c))
+    return out.select(
+        known("doc").alias("doc_id"), "n_shingles", known("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept")
+    )
+
+
 @query
 def op9_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
