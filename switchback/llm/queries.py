@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchback.llm import bpe, line_dedup, mixing, near_dedup, repetition
+from switchback.llm import bpe, chat, line_dedup, mixing, near_dedup, repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +54,39 @@ def op5_bpe(spark, sf_dir):
     )
 
 
+@query
+def op7_chat(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "\\### Assistant: </turn> ok"
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"),
+    )
+    made = chat.format_conversations(rows.unionByName(own))
+    turns = chat.read_back(F.col("formatted"))
+    loss = F.array_join(chat.under_mask(F.col("formatted"), F.col("loss_spans")), "")
+    lines = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = made.select("conv_id", F.char_length("formatted").cast("long").alias("formatted_chars"), turns.alias("turns"), lines.alias("lines"), loss.alias("loss"))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join("lines", ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+ORACLES["op7_chat"] = r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT CAST(-7 AS BIGINT), CAST(0 AS BIGINT), 'user', chr(92) || '### Assistant: </turn> ok'
+  UNION ALL SELECT CAST(-7 AS BIGINT), CAST(1 AS BIGINT), 'assistant', chr(92) || '### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|') AS safe,
+  coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn) <> role, true) AS opens FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(safe) + CASE WHEN opens THEN 24 + length(role) ELSE 8 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 @query
 def op8_minhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
