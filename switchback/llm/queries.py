@@ -5,15 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchback.llm import bpe, chat, line_dedup, mixing, near_dedup, repetition
+from switchback.llm import bpe, chat, line_dedup, mixing, near_dedup, repetition, syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def known_id(c: str) -> Column:
+    """A doc_id again; the number that stands for none is null."""
+    return F.when(F.col(c) != 2**63 - 1, F.col(c))
+
+
 def query(build: Callable[[SparkSession, str], DataFrame]):
     QUERIES[build.__name__] = build
     return build
@@ -23,6 +28,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_syncmers(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = syncmers.fingerprint_edits(docs, parts=4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return made.select(
+        known_id("doc").alias("doc_id"), F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.as_text(F.col("hashes")).alias("fingerprint"), syncmers.as_text(F.col("edited_hashes")).alias("edited_fingerprint"),
+        syncmers.likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        syncmers.likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+    )
+
+
 @query
 def op2_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,9 +108,8 @@ FROM e GROUP BY conv_id
 def op8_minhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = near_dedup.near_components(docs)
-    known = lambda c: F.when(F.col(c) != 2**63 - 1, F.col(c))
     return out.select(
-        known("doc").alias("doc_id"), "n_shingles", known("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept")
+        known_id("doc").alias("doc_id"), "n_shingles", known_id("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept")
     )
 
 
