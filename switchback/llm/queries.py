@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchback.llm import bpe, chat, line_dedup, mixing, near_dedup, repetition, syncmers
+from switchback.llm import bpe, chat, line_dedup, mixing, near_dedup, repetition, resharding, syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +60,20 @@ FROM m GROUP BY doc_id
 """
 
 
+@query
+def op3_resharding(spark, sf_dir):
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.xxhash64(text).alias("hash"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc")
+    )
+    # the layout before: five shards by checksum of the text
+    made = resharding.reshard(rows.withColumn("old", F.pmod("crc", F.lit(5)).cast("int")), shards=8)
+    return made.select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
