@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchback.llm import bpe, chat, line_dedup, mixing, near_dedup, repetition, resharding, syncmers
+from switchback.llm import bpe, chat, line_dedup, mixing, near_dedup, repetition, resharding, secret_scan, syncmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,18 @@ def op3_resharding(spark, sf_dir):
     )
 
 
+@query
+def op4_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter(spans, lambda s: s["kind"] != "format")
+    return secret_scan.scan(docs, secret_scan.learn(docs)).select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(secret_scan.span_list(base), 256).alias("base_sha256"), secret_scan.span_list(spans).alias("spans"),
+    )
+
+
 @query
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
