@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 #: Labelled texts of each label that lexicon and weights are learned on, those of smallest hash.
 SAMPLE = 6_000
 #: A term is held by so many toxic texts, and this share of its texts is toxic by the lower bound of a 95 % interval.
-LEAST_TEXTS, LEAST_SHARE = 8, 0.75
+LEAST_TEXTS, LEAST_SHARE = 8, 0.5
 STEM_CHARS = (4, 12)
 WORD = r"[\p{L}\p{N}]+"
 _WORD = re.compile(r"\w+(?:[*@$]+\w+)*")
@@ -31,7 +31,7 @@ WINDOW = 8
 #: What a misspelled hit and a quoted one count against an exact one. Labels hold too few of them to learn it.
 MISSPELLED, QUOTED = 0.7, 0.15
 #: Evidence beyond which a text is no more toxic.
-MOST = 12.0
+MOST = 8.0
 MEMO = 300_000
 
 #: Signs and words that mark quotation near a hit, and words that address someone.
@@ -180,7 +180,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 def learn_terms(labelled: DataFrame) -> list[tuple[str, bool, float]]:
-    """Words and beginnings of words that tell toxic texts, with log odds as weights."""
+    """Words and beginnings of words that tell toxic texts, with how far each rules out a clean text as its weight."""
     totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
@@ -193,12 +193,11 @@ def learn_terms(labelled: DataFrame) -> list[tuple[str, bool, float]]:
         "a", "b",
     ).groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("*").alias("words")).filter("words >= 3").drop("words")
     both = counted.withColumn("stem", F.lit(False)).unionByName(stems.withColumn("stem", F.lit(True)))
-    # balanced: as if there were as many texts of either label
-    b = F.col("b") * (bad / good)
+    b = F.col("b")
     n = F.col("a") + b
     share = F.col("a") / n
     low = (share + 1.92 / n - 1.96 * F.sqrt(share * (1 - share) / n + 0.9604 / (n * n))) / (1 + 3.84 / n)
-    weight = F.log((F.col("a") + 0.5) / (b + 0.5))
+    weight = F.log((n + 1) / (b + 0.5))  # minus the log of how often the term stands in other texts
     rows = both.filter((F.col("a") >= LEAST_TEXTS) & (F.col("a") > F.col("b")) & (low >= LEAST_SHARE)).select(
         "term", "stem", low.alias("low"), weight.alias("weight")
     ).collect()
