@@ -55,13 +55,17 @@ def upsert(
     A matched row takes the columns ``source`` supplies, NULLs included unless
     ``null_overwrites`` is off, and keeps its others; an unmatched source row is
     added. Both sides hold a key once (``check`` rejects a source that does not),
-    so the join has no heavy key. The result must go to a new snapshot path.
+    so the join has no heavy key. ``target`` is left-joined with ``source`` and
+    united with the source rows it lacks, so while the source is small enough to
+    be broadcast, the target is not moved. The result must go to a new snapshot path.
     """
     if check:
         assert_unique(source, keys)
     supplied = [c for c in source.columns if c not in keys]
     incoming = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in supplied], F.lit(True).alias("_hit"))
-    merged = target.join(incoming, keys, "full_outer")
+    merged = target.join(incoming, keys, "left")
+    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+    added = source.join(known, keys, "left_anti")
 
     def pick(c: str) -> Column:
         if c not in supplied:
@@ -73,7 +77,9 @@ def upsert(
         return F.when(F.col("_hit"), value).otherwise(F.col(c)).alias(c)
 
     names = [c for c in target.columns if c not in keys] + [c for c in supplied if c not in target.columns]
-    return merged.select(*keys, *[pick(c) for c in names])
+    matched = merged.select(*keys, *[pick(c) for c in names])
+    new = added.select(*[F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in matched.columns])
+    return matched.unionByName(new)
 
 
 def stamp_version(df: DataFrame, version: str) -> tuple[DataFrame, DataFrame]:

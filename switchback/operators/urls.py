@@ -18,6 +18,26 @@ def filter_urls(urls: DataFrame, contains: str = V.HIKE_PATH, not_suffix: str =
     return urls.filter(F.contains("url", F.lit(contains)) & ~F.endswith(_no_slash(F.col("url")), F.lit(not_suffix)))
 
 
+#: Comments and elements whose content is not markup.
+_NO_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<textarea\b.*?</textarea\s*>"
+#: The href of an ``a`` element in any quoting; quoted values of attributes before it are passed over whole.
+_ANCHOR = r"""(?is)<a(?:\s|\s(?:[^>"']|"[^"]*"|'[^']*')*?\s)href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_ENTITIES = {"&quot;": '"', "&#34;": '"', "&apos;": "'", "&#39;": "'", "&lt;": "<", "&gt;": ">", "&nbsp;": "\u00a0", "&#38;": "&", "&amp;": "&"}
+
+
+def anchor_targets(html: Column) -> Column:
+    """Targets of all ``a`` elements in order, entities decoded: array<string>."""
+    found = F.regexp_extract_all(F.regexp_replace(html, _NO_MARKUP, " "), F.lit(_ANCHOR), F.lit(1))
+
+    def plain(v: Column) -> Column:
+        v = F.regexp_replace(v, r"""^["']|["']$""", "")
+        for entity, sign in _ENTITIES.items():  # the ampersand itself last
+            v = F.replace(v, F.lit(entity), F.lit(sign))
+        return strip(v)
+
+    return F.transform(found, plain)
+
+
 def harvest_links(
     pages: DataFrame, base: str, marker: str = V.HIKE_PATH, page_no: str = "page_no", html: str = "html"
 ) -> DataFrame:
@@ -26,11 +46,7 @@ def harvest_links(
     The index page itself is skipped before query and fragment are cut. The
     minimum per link combines on the map side, so a link on every page is cheap.
     """
-    quoted = r"""(?i)\bhref\s*=\s*("[^"]*"|'[^']*')"""
-    hrefs = pages.select(page_no, F.posexplode(F.regexp_extract_all(html, F.lit(quoted), F.lit(1))).alias("pos", "_q"))
-    hrefs = hrefs.select(
-        page_no, "pos", strip(F.replace(F.expr("substring(_q, 2, length(_q) - 2)"), F.lit("&amp;"), F.lit("&"))).alias("_h")
-    )
+    hrefs = pages.select(page_no, F.posexplode(anchor_targets(F.col(html))).alias("pos", "_h"))
     index = marker.rstrip("/")
     wanted = F.contains("_h", F.lit(marker)) & ~F.endswith("_h", F.lit(marker))
     if index:
@@ -102,15 +118,17 @@ def remaining(stats: DataFrame, crawled: DataFrame) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, key: str, order: str, limit: int | None = None) -> DataFrame:
-    """First row per key in ``order``; with ``limit``, the first so many of those.
+    """First row per key in ``order``, NULLs last and ties by content; with ``limit``, the first so many of those.
 
     An aggregate, so copies combine before the shuffle and a key with many
     copies does not end up in one task.
     """
     payload = [c for c in df.columns if c != key]
-    kept = df.groupBy(key).agg(F.min_by(F.struct(*payload), F.col(order)).alias("_r")).select(key, "_r.*")
+    content = F.to_json(F.struct(*payload), {"ignoreNullFields": "false"})
+    place = F.struct(F.col(order).isNull().alias("missing"), F.col(order).alias("order"), content.alias("content"))
+    kept = df.groupBy(key).agg(F.min_by(F.struct(*payload), place).alias("_r")).select(key, "_r.*")
     kept = kept.select(*df.columns)
-    return kept if limit is None else take_first(kept, limit, order)
+    return kept if limit is None else kept.orderBy(F.col(order).asc_nulls_last(), key).limit(limit)
 
 
 def take_first(df: DataFrame, n: int, order: str) -> DataFrame:

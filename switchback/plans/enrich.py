@@ -117,7 +117,7 @@ def enrich_trails(
         ),
         "trail_id",
         "name",
-    )
+    )  # copies of an id: the least name, then the least content
     tried = matchable(asked)
     candidates = MT.candidate_features(features)
     best = cut_lineage(MT.match_trails(tried, candidates, method))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from switchback import fixed_values as V
 from switchback import schemas as S
 from switchback.operators import state as ST
 from switchback.operators import urls as U
-from switchback.operators.pages import extract_pages
+from switchback.operators.pages import extract_pages, failed_urls
 from switchback.operators.scoring import add_difficulty_score, add_runnable_pct
 from switchback.plans.enrich import attach_enrichment, enrich_trails
 from switchback.sources import writers as W
@@ -26,9 +26,11 @@ class RunParams:
     dataset_version: str
     started_at: datetime
     max_pages: int | None = 50
+    null_status_ok: bool = True
     schema_version: str = "v1.0"
     heading_class: str | None = V.HEADING_CLASS
     name_method: str = "blocks"
+    notes: dict = field(default_factory=dict)
 
     @classmethod
     def at(cls, when: datetime, tag: str, **options) -> "RunParams":
@@ -79,23 +81,23 @@ def _increment(spark, store, current, sitemap, pages, features, elevations, para
     frontier = stage(U.select_frontier(hikes, state, params.max_pages), "00_frontier")
 
     wanted = frontier.groupBy("url").agg(F.min("pos").alias("_pos"))
-    landed = pages.select("url", "html").join(wanted.select("url"), "url", "left_semi")
-    parsed = extract_pages(landed, params.heading_class).withColumn("url", F.col("source_url"))
-    parsed = U.dedupe_first(parsed.join(wanted, "url"), "id", "_pos").drop("_pos")
-    crawled = stage(parsed.withColumn("new_hash", ST.row_hash(parsed)), "01_crawled")
-    failed = wanted.select("url").join(crawled.select("url"), "url", "left_anti")
-    changed = ST.changed_rows(crawled, state)
+    landed = latest_pages(pages, params.null_status_ok).join(wanted.select("url"), "url", "left_semi")
+    parsed = extract_pages(landed, params.heading_class).withColumn("url", F.col("source_url")).join(wanted, "url")
+    # every address that parsed has its own state; trails are unique by id only where they are published
+    crawled = stage(parsed.withColumn("new_hash", ST.row_hash(parsed, [c for c in parsed.columns if c != "_pos"])), "01_crawled")
+    failed = failed_urls(wanted, crawled)
+    changed = U.dedupe_first(ST.changed_rows(crawled, state), "id", "_pos")
 
     counts = ST.run_metrics(hikes, state, frontier, crawled, failed, changed).first().asDict()
     stats.update({k: counts[k] for k in ("to_crawl", "crawled_rows", "failed_urls", "changed_rows")})
     if counts["crawled_rows"] == 0 and counts["failed_urls"] == 0:
         raise RuntimeError("nothing crawled in this run")
-    stats["remaining_uncrawled"] = max(0, listed["never"] - counts["crawled_rows"])
+    stats["remaining_uncrawled"] = U.remaining(spark.createDataFrame([listed]), crawled).first()[0]
 
     if counts["changed_rows"] == 0:
         published, row_count, notes = trails, 0, V.NOTE_NO_CHANGE
     else:
-        base = ST.keep_rows(crawled, changed).drop("url", "new_hash")
+        base = changed.drop("url", "new_hash", "_pos")
         enriched = stage(attach_enrichment(base, enrich_trails(base, features, elevations, params.name_method)), "02_enriched")
         scored = add_runnable_pct(add_difficulty_score(enriched)).withColumn("dataset_version", F.lit(version))
         scored = stage(scored, "03_scored")
@@ -114,11 +116,25 @@ def _increment(spark, store, current, sitemap, pages, features, elevations, para
     return row_count, notes
 
 
+def latest_pages(pages: DataFrame, null_status_ok: bool = True) -> DataFrame:
+    """(url, html) of the pages that were landed successfully, the last landing of each address.
+
+    Only status 200 counts; pages without a status count if ``null_status_ok``.
+    Landings are ordered by ``landed_at`` where there is such a column, then by content.
+    """
+    fine = F.col("status") == V.SUCCESS_STATUS if "status" in pages.columns else F.lit(None).cast("boolean")
+    pages = pages.filter(F.coalesce(fine, F.lit(null_status_ok)))
+    at = F.col("landed_at") if "landed_at" in pages.columns else F.lit(None).cast("timestamp")
+    place = F.struct(at.alias("at"), F.xxhash64("html").alias("content"))
+    return pages.groupBy("url").agg(F.max_by("html", place).alias("html"))
+
+
 def _log(spark, store, params: RunParams, status: str, row_count: int, stats: dict, notes: str) -> None:
     text = lambda d: {k: str(v) for k, v in d.items()}
-    bounds = {"max_pages": params.max_pages}
+    bounds = {"max_pages": params.max_pages, **params.notes}
     row = (
         params.run_id, params.dataset_version, params.schema_version, status, params.started_at,
         datetime.now(timezone.utc), row_count, text(stats), text(bounds), notes,
     )
-    W.write_run(spark.createDataFrame([row], S.PIPELINE_RUNS), store, params.run_id)
+    run = spark.createDataFrame([row], S.PIPELINE_RUNS)
+    W.write_run(ST.log_run(spark.createDataFrame([], S.PIPELINE_RUNS), run), store, params.run_id)

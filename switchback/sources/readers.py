@@ -61,13 +61,31 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_osm(spark: SparkSession, path: str) -> DataFrame:
-    """Feature rows of landed query answers, one JSON document with ``elements`` per line.
+    """Feature rows of landed query answers, a JSON document with ``elements`` each; see :func:`read_answers`."""
+    elements = from_answers(read_answers(spark, path)).select(F.explode("elements").alias("e")).select("e.*")
+    return read_features(elements)
+
 
-    A document that is not valid JSON holds no elements.
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, answer): documents of landed files as text, whether indented over many lines or one a line.
+
+    A file is one document unless every line of it is one of its own.
     """
-    answer = S.record(elements=T.ArrayType(S.MAP_ELEMENT))
-    elements = spark.read.schema(answer).json(path).select(F.explode("elements").alias("e")).select("e.*")
-    return read_features(elements)
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    lines = F.filter(F.split("value", "\\r?\\n"), lambda v: F.trim(v) != "")
+    a_line_each = F.forall(lines, lambda v: F.startswith(F.trim(v), F.lit("{")) & F.endswith(F.trim(v), F.lit("}")))
+    return files.select("file", F.explode(F.when(a_line_each, lines).otherwise(F.array("value"))).alias("answer"))
+
+
+def from_answers(answers: DataFrame) -> DataFrame:
+    """``answers`` with their parsed ``elements``; NULL where the text is no valid document."""
+    parsed = F.from_json("answer", S.record(elements=T.ArrayType(S.MAP_ELEMENT)), {"mode": "PERMISSIVE"})
+    return answers.withColumn("elements", parsed["elements"])
+
+
+def unreadable_answers(answers: DataFrame) -> DataFrame:
+    """Number of documents without readable elements per file."""
+    return from_answers(answers).filter(F.col("elements").isNull()).groupBy("file").agg(F.count(F.lit(1)).alias("unreadable"))
 
 
 def read_elevation(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ micro-batch is one run of the job, whose listing is the batch itself.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -39,18 +40,20 @@ def run_landed(
 ) -> StreamingQuery:
     """Processes everything new in ``landing`` and stops. ``checkpoint`` must be a shared folder.
 
-    A micro-batch that is repeated after a failure finds its run in the log and does nothing.
+    A micro-batch that is repeated after a failure finds its run in the log and does nothing:
+    runs carry the stream's identity, its checkpoint folder, and the batch number.
     """
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def run(batch: DataFrame, number: int) -> None:
-        tag = f"b{number}"
-        done = read_runs(spark, store).filter(F.endswith("run_id", F.lit(f"_{tag}")) & (F.col("status") == "success"))
-        if not done.isEmpty():
+        mine = (F.col("params")["checkpoint"] == checkpoint) & (F.col("params")["batch"] == str(number))
+        if not read_runs(spark, store).filter(mine & (F.col("status") == "success")).isEmpty():
             return
-        params = RunParams.at(_next_time(spark, store), tag, max_pages=None, **options)
+        identity = {"checkpoint": checkpoint, "batch": number, "landing": landing}
+        params = RunParams.at(_next_time(spark, store), f"{stream}_b{number}", max_pages=None, notes=identity, **options)
         # landed once and read back in the caller's session: the batch's own session
         # re-reads the source on every action and may run without adaptive plans
-        write_stage(batch.select("url", "html"), store, params.run_id, "landed")
+        write_stage(batch.select("url", "html", "status"), store, params.run_id, "landed")
         pages = spark.read.parquet(f"{store}/stages/run_id={params.run_id}/stage=landed")
         listing = pages.select("url").distinct().withColumn("pos", F.xxhash64("url"))
         weekly_job(spark, store, listing, pages, features(), elevations(), params)
