@@ -45,16 +45,10 @@ def failed_urls(pages: DataFrame, trails: DataFrame) -> DataFrame:
 
 def feature_list(texts: Column, max_len: int = V.FEATURE_MAX_LEN, n: int = V.FEATURE_MAX_COUNT) -> Column:
     """First ``n`` short entries, letter case aside each once, as one text; NULL when there are none."""
-    none = F.array().cast("array<string>")
-
-    def take(state: Column, t: Column) -> Column:
-        fresh = (F.length(t) < max_len) & (F.size(state["kept"]) < n) & ~F.array_contains(state["seen"], F.lower(t))
-        return F.struct(
-            F.when(fresh, F.concat(state["kept"], F.array(t))).otherwise(state["kept"]).alias("kept"),
-            F.when(fresh, F.concat(state["seen"], F.array(F.lower(t)))).otherwise(state["seen"]).alias("seen"),
-        )
-
-    kept = F.aggregate(texts, F.struct(none.alias("kept"), none.alias("seen")), take)["kept"]
+    short = F.filter(texts, lambda t: F.length(t) < max_len)
+    lowered = F.transform(short, lambda t: F.lower(t))
+    keys = F.slice(F.array_distinct(lowered), 1, n)
+    kept = F.transform(keys, lambda k: F.get(short, (F.array_position(lowered, k) - 1).cast("int")))
     return blank_to_null(F.array_join(kept, ", "))
 
 

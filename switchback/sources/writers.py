@@ -68,5 +68,15 @@ def read_current(spark: SparkSession, store: str, table: str, schema: T.StructTy
     return spark.read.schema(schema).parquet(f"{store}/{table}/snapshot={version}")
 
 
+def open_store(spark: SparkSession, store: str) -> str | None:
+    """Current snapshots and the run log as temporary views of their names; returns the version they show."""
+    version = current_version(spark, store)
+    tables = {"trails": S.store_schema(), "crawl_state": S.CRAWL_STATE, "dataset_versions": S.DATASET_VERSIONS}
+    for name, schema in tables.items():
+        read_current(spark, store, name, schema, version).createOrReplaceTempView(name)
+    read_runs(spark, store).createOrReplaceTempView("pipeline_runs")
+    return version
+
+
 def write_snapshot(df: DataFrame, store: str, table: str, version: str) -> None:
     df.write.mode("overwrite").parquet(f"{store}/{table}/snapshot={version}")

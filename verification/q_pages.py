@@ -110,6 +110,26 @@ def harvest_links(t):
     return U.harvest_links(pages, "https://site.example", marker="/")
 
 
+@query(
+    "harvest_links_markup",
+    r"""
+WITH e AS (SELECT p_partkey AS k, 0 AS i, 'https://site.example/p/' || CAST(p_partkey % 50 AS VARCHAR) || '/x' AS url FROM {part}
+  UNION ALL SELECT p_partkey, 1, 'https://site.example/p/' || CAST(p_size AS VARCHAR) || '&y' FROM {part}
+  UNION ALL SELECT p_partkey, 2, 'https://other.example/p/u' || CAST(p_partkey AS VARCHAR) FROM {part})
+SELECT url, min(struct_pack(k := k, i := i)).k AS page_no, CAST(min(struct_pack(k := k, i := i)).i AS INTEGER) AS pos FROM e GROUP BY url
+""",
+)
+def harvest_links_markup(t):
+    """Links in every quoting among things that only look like links; the expected ones come from columns."""
+    k, n = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    html = F.concat(
+        F.lit('<link href="/p/canon"><!-- <a href="/p/hidden">x</a> --><script>var s = \'<a href="/p/script">\';</script>'),
+        F.lit('<a data-href="/p/data" title="a > b" href="/p/'), (F.col("p_partkey") % 50).cast("string"), F.lit('/x/?q=1#f">1</a>'),
+        F.lit("<A class='c'\n HREF = '/p/"), n, F.lit("&amp;y'>2</a><a href=https://other.example/p/u"), k, F.lit(" rel=x>3</a><abbr href='/p/no'>"),
+    )
+    return U.harvest_links(t.part.select(F.col("p_partkey").alias("page_no"), html.alias("html")), "https://site.example", marker="/p/")
+
+
 @query("list_page_offsets", "SELECT page_id + 1 AS page, page_id * 30 AS \"offset\" FROM {pages}")
 def list_page_offsets(t):
     page = (F.col("page_id") + 1).alias("page")
