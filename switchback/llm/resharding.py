@@ -164,6 +164,11 @@ def rewrite(resharded: DataFrame, old_path: str, new_path: str, row_id: Column,
     spark = resharded.sparkSession
     actions = cut_lineage(block_actions(resharded))
     crossed = landed_small(actions.filter(F.col("action") == "rewritten").select("old", "block"))
+    whole = actions.filter(F.col("shard").isNotNull()).select(
+        "shard", "block", F.concat(F.lit(f"{old_path}/old="), F.col("old"), F.lit("/block="), F.col("block")).alias("path")
+    )
+    if crossed.isEmpty():
+        return whole
     goes = resharded.join(crossed, ["old", "block"], "left_semi").select(
         F.col("id").alias("__to_id"), F.col("hash").alias("__to_hash"), F.col("shard").alias("__shard")
     ).distinct()
@@ -171,9 +176,6 @@ def rewrite(resharded: DataFrame, old_path: str, new_path: str, row_id: Column,
     keyed = stored.withColumns({"__id": row_id, "__hash": row_hash})
     joined = keyed.join(goes, keyed["__id"].eqNullSafe(goes["__to_id"]) & (keyed["__hash"] == goes["__to_hash"]))
     joined.drop("__id", "__hash", "__to_id", "__to_hash", "old").withColumnRenamed("__shard", "shard").write.partitionBy("shard", "block").parquet(new_path)
-    whole = actions.filter(F.col("shard").isNotNull()).select(
-        "shard", "block", F.concat(F.lit(f"{old_path}/old="), F.col("old"), F.lit("/block="), F.col("block")).alias("path")
-    )
     fresh = spark.read.parquet(new_path).select("shard", "block").distinct()
     return whole.unionByName(fresh.withColumn("path", F.concat(F.lit(f"{new_path}/shard="), F.col("shard"), F.lit("/block="), F.col("block"))))
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from switchback.llm.automata import Automaton, Background
+from switchback.llm.common import short_batches
 
 #: What a base match is. Letters of names match in either case.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -31,8 +32,8 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{12,}={0,2}"
 #: Distinct strings of a kind that a model is fitted on, and the longest of them; everything is scored.
 SAMPLE, SAMPLE_CHARS = 1500, 256
 #: A candidate is a secret if it is this many nats likelier as a credential than as an ordinary run,
-#: and by sign no less likely than all but this share of the labelled credentials.
-LEAST_NATS, LEAST_QUANTILE = 12.0, 0.02
+#: and by sign at most SLACK nats less likely than all but this share of the labelled credentials.
+LEAST_NATS, LEAST_QUANTILE, SLACK = 12.0, 0.02, 0.3
 MEMO = 200_000
 
 _ASSIGN = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
@@ -59,7 +60,7 @@ class Formats:
             if strings:
                 model = Automaton(strings)
                 scores = sorted(model.log_likelihood(s) / len(s) for s in strings)
-                self.models.append((model, scores[int(len(scores) * LEAST_QUANTILE)]))
+                self.models.append((model, scores[int(len(scores) * LEAST_QUANTILE)] - SLACK))
 
     def is_secret(self, s: str) -> bool:
         ordinary = self.background.log_likelihood(s)
@@ -141,7 +142,7 @@ def scan(docs: DataFrame, formats: Formats | None, spans: str = "spans") -> Data
             yield pd.Series([[{"kind": k, "start": s, "end": e} for k, s, e in scanner.spans(t or "")] for t in batch], dtype=object)
 
     kind = "array<struct<kind:string,start:int,end:int>>"
-    return docs.withColumn(spans, F.pandas_udf(run, kind)(F.col("text")))
+    return short_batches(docs).withColumn(spans, F.pandas_udf(run, kind)(F.col("text")))
 
 
 def span_list(spans: Column) -> Column:

@@ -187,6 +187,8 @@ def test_tokens_equal_the_public_library(spark, encoder):
     for x in out.collect():
         ids = bpe.unpack(bytes(x["ids"])).tolist()
         assert ids == plain.encode_ordinary(x["text"] or "") and x["n"] == len(ids) and bytes(x["decoded"]).decode() == (x["text"] or "")
+    both = bpe.round_trip(docs, path, tokenizers.PATTERN)
+    assert both.select("ids", "decoded").exceptAll(out.select("ids", "decoded")).count() == 0
     assert bpe.encode(docs_of(spark, []), path, tokenizers.PATTERN).count() == 0
 
 
