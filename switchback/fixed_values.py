@@ -227,3 +227,9 @@ RETIRED_COLUMNS = ["grade_p95", "log_distance"]
 SNAPSHOT_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
 FAILURE_STATUS, FAILURE_ERROR, SUCCESS_STATUS = 0, "parse_failed_or_unreachable", 200
 NOTE_NO_CHANGE, NOTE_EXCEPTION = "no_changed_rows", "exception"
+
+# score weights: column, unit (None: taken as it is), weight
+HEURISTIC_WEIGHTS = [
+    ("gain_per_mile_ft", 1000.0, 0.45), ("max_grade_p95", 20.0, 0.35), ("surface_penalty", None, 0.10), ("distance_mi", 15.0, 0.10),
+]
+RUNNABLE_WEIGHTS = [("max_grade_p95", 25.0, 0.55), ("gain_per_mile_ft", 1500.0, 0.25), ("surface_penalty", None, 0.20)]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -164,15 +166,13 @@ def predict_score(df: DataFrame, model: RidgeModel) -> DataFrame:
     return df.withColumn("difficulty_score_0_10", np_round(_clip(scaled, 0.0, 10.0), 1))
 
 
-def heuristic_score(df: DataFrame) -> DataFrame:
-    """Weighted sum of climb, steepness, surface and length, for data without any difficulty label."""
-    part = lambda c, unit: F.coalesce(F.col(c) / F.lit(unit), F.lit(0.0))
-    z = (
-        F.lit(0.45) * part("gain_per_mile_ft", 1000.0)
-        + F.lit(0.35) * part("max_grade_p95", 20.0)
-        + F.lit(0.10) * F.col("surface_penalty")
-        + F.lit(0.10) * part("distance_mi", 15.0)
-    )
+def heuristic_score(df: DataFrame, weights: list[tuple[str, float | None, float]] = V.HEURISTIC_WEIGHTS) -> DataFrame:
+    """Weighted sum of climb, steepness, surface and length, for data without any difficulty label.
+
+    ``weights``: (column, unit, weight); a column without a unit is taken as it is.
+    """
+    part = lambda c, unit: F.col(c) if unit is None else F.coalesce(F.col(c) / F.lit(unit), F.lit(0.0))
+    z = reduce(add, [F.lit(w) * part(c, unit) for c, unit, w in weights])
     return df.withColumn("difficulty_score_0_10", np_round(_clip(z * F.lit(10.0), 0.0, 10.0), 1))
 
 
@@ -186,14 +186,14 @@ def add_difficulty_score(df: DataFrame) -> DataFrame:
     return heuristic_score(out) if model is None else predict_score(out, model)
 
 
-def add_runnable_pct(df: DataFrame) -> DataFrame:
+def add_runnable_pct(df: DataFrame, weights: list[tuple[str, float | None, float]] = V.RUNNABLE_WEIGHTS) -> DataFrame:
+    """Share of a trail that can be run, from steepness, climb and surface; ``weights`` as in :func:`heuristic_score`."""
     out = score_features(df, V.RUNNABLE_PENALTY_DEFAULT)
-    part = lambda c, unit: _clip(F.coalesce(F.col(c), F.lit(0.0)) / F.lit(unit), 0.0, 2.0)
-    burden = (
-        F.lit(0.55) * part("max_grade_p95", 25.0)
-        + F.lit(0.25) * part("gain_per_mile_ft", 1500.0)
-        + F.lit(0.20) * _clip(F.col("surface_penalty"), 0.0, 1.0)
-    )
+
+    def part(c: str, unit: float | None) -> Column:
+        return _clip(F.col(c), 0.0, 1.0) if unit is None else _clip(F.coalesce(F.col(c), F.lit(0.0)) / F.lit(unit), 0.0, 2.0)
+
+    burden = reduce(add, [F.lit(w) * part(c, unit) for c, unit, w in weights])
     pct = (F.lit(1.0) - burden / F.lit(2.0)) * F.lit(100.0)
     return out.withColumn("trail_runnable_pct", np_round(_clip(pct, 0.0, 100.0), 1))
 

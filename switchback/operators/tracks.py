@@ -232,7 +232,9 @@ def encode_points(column: str) -> Column:
 
     deltas = F.flatten(F.transform(points, lambda p, i: F.array(delta(i, p, "lat"), delta(i, p, "lng"))))
     zigzag = F.transform(deltas, lambda v: F.shiftleft(v, 1).bitwiseXOR(F.shiftright(v, 63)))
-    return F.array_join(F.transform(zigzag, _five_bit_text), "")
+    # no step on the globe needs more bits than the text has room for; a line with one has no text
+    fits = F.forall(zigzag, lambda v: F.shiftrightunsigned(v, 35) == 0)
+    return F.when(fits, F.array_join(F.transform(zigzag, _five_bit_text), ""))
 
 
 def _five_bit_text(v: Column) -> Column:
