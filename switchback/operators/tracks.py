@@ -109,27 +109,27 @@ def resample(
         "_first_pos",
         (F.greatest(kept_inside, F.coalesce(kept_between, F.lit(0))) < max_points).alias("_needed"),
         F.when(F.lead("_block").over(along).isNull(), F.col("_last_pos")).alias("_end_pos"),
+        F.when(F.lag("_block").over(along).isNull(), F.col("_first_pos")).alias("_start_pos"),
     )
+    d = F.when(F.col(pos) == F.col("_first_pos"), F.col("_gap")).otherwise(F.col("_inner"))
+    # a point without a step is never kept by the walk; only how many there are, and both ends, matter
+    ends = F.coalesce(F.col(pos) == F.col("_start_pos"), F.lit(False)) | F.coalesce(F.col(pos) == F.col("_end_pos"), F.lit(False))
+    moves = ~d.eqNullSafe(F.lit(0.0)) | ends if step_m > 0 else F.lit(True)
     reach = (
         stepped.join(blocks, [key, "_block"])
         .filter(F.col("_needed") | (F.col(pos) == F.col("_end_pos")))
-        .select(
-            key,
-            F.struct(
-                F.col(pos).alias("pos"),
-                "lat",
-                "lng",
-                F.when(F.col(pos) == F.col("_first_pos"), F.col("_gap")).otherwise(F.col("_inner")).alias("d"),
-            ).alias("_p"),
-        )
+        .select(key, F.when(moves, F.struct(F.col(pos).alias("pos"), "lat", "lng", d.alias("d"))).alias("_p"))
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list("_p")).alias("_line"))
+        .agg(F.array_sort(F.collect_list("_p")).alias("_line"), F.count(F.lit(1)).cast("int").alias("n_seen"))
     )
-    return reach.select(key, F.size("_line").alias("n_seen"), thin("_line", step_m, max_points).alias("samples"))
+    return reach.select(key, "n_seen", thin("_line", step_m, max_points, F.col("n_seen")).alias("samples"))
+
 
+def thin(column: str, step_m: float, max_points: int, n_points: Column | None = None) -> Column:
+    """The walk of :func:`resample` over a column of (pos, lat, lng, d = metres from the point before) arrays.
 
-def thin(column: str, step_m: float, max_points: int) -> Column:
-    """The walk of :func:`resample` over a column of (pos, lat, lng, d = metres from the point before) arrays."""
+    ``n_points`` is the number of points where the array leaves out some without a step.
+    """
     line = F.col(column)
     plain = lambda p: F.struct(p["pos"].alias("pos"), p["lat"].alias("lat"), p["lng"].alias("lng"))
     n = F.size(line)
@@ -151,7 +151,7 @@ def thin(column: str, step_m: float, max_points: int) -> Column:
         return F.when(moved & (F.size(kept) < max_points), F.concat(kept, F.array(end))).otherwise(kept)
 
     thinned = F.aggregate(F.slice(line, F.lit(2), F.greatest(n - 1, F.lit(0))), start, walk, finish)
-    return F.when(n <= 2, F.transform(line, plain)).otherwise(thinned)
+    return F.when((n if n_points is None else n_points) <= 2, F.transform(line, plain)).otherwise(thinned)
 
 
 def with_distances(column: str) -> Column:

@@ -95,3 +95,13 @@ def test_grade(spark):
     assert (hilly["max_grade_p95"], hilly["derived_gain_ft"]) == (4.5, round(205 * 3.28084))
     assert grades(spark, line, [100.0, None, 105.0, 300.0, 300.0])["max_grade_p95"] is None
     assert grades(spark, line[:2], [1.0, 20.0])["max_grade_p95"] is None
+
+
+def test_a_feature_that_stands_still_stays_short(spark):
+    still = spark.range(20_000).select(F.lit("s").alias("feature_id"), F.col("id").cast("int").alias("pos"), F.lit(46.0).alias("lat"), F.lit(-121.0).alias("lng"))
+    moving = still.filter("pos < 4000").select(
+        F.lit("m").alias("feature_id"), "pos", (F.col("lat") + F.floor(F.col("pos") / 1000) * 0.01).alias("lat"), "lng"
+    )
+    out = {r["feature_id"]: r for r in TR.resample(still.union(moving), 50.0, 10, block=500).collect()}
+    assert out["s"]["n_seen"] == 20_000 and len(out["s"]["samples"]) == 1
+    assert [p["pos"] for p in out["m"]["samples"]] == [0, 1000, 2000, 3000]
