@@ -37,7 +37,7 @@ def sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with packed token ids and their number, round trip checked."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    both = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    both = bpe.round_trip(docs, path, pattern)
     return both.select(
         "doc_id", "source", bpe.n_tokens(F.col("ids")).alias("n_tokens"), "ids",
         (F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("round_trip"),

@@ -13,6 +13,7 @@ import base64
 import sys
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import ahocorasick
 import pandas as pd
@@ -21,8 +22,10 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from switchback.llm.common import short_batches
+
 #: Entries kept in a task's memo; a full memo is emptied, which changes no result.
-MEMO = 300_000
+MEMO = 250_000
 
 
 class Vocabulary:
@@ -32,11 +35,6 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        #: finds all tokens that end at each byte, longest first
-        self.endings = ahocorasick.Automaton()
-        for token, i in ranks.items():
-            self.endings.add_word(token.decode("latin-1"), (len(token), i))
-        self.endings.make_automaton()
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._apart: dict[tuple[int, int], bool] = {}
 
@@ -45,6 +43,15 @@ class Vocabulary:
         """From the text of a rank file: a base64 token and its rank a line."""
         return cls({base64.b64decode(t): int(i) for t, i in map(bytes.split, content.splitlines()) if t})
 
+    @cached_property
+    def endings(self) -> ahocorasick.Automaton:
+        """Finds all tokens that end at each byte, longest first."""
+        found = ahocorasick.Automaton()
+        for token, i in self.ranks.items():
+            found.add_word(token.decode("latin-1"), (len(token), i))
+        found.make_automaton()
+        return found
+
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; None for one byte and for a token that merging never makes."""
         if token not in self._halves:
@@ -214,16 +221,20 @@ def unpack(packed: bytes) -> array:
 
 def _with_encoder(df: DataFrame, path: str, pattern: str, work, kind: str):
     """A pandas UDF over batches; the rank file, of fixed size, is read on the driver and broadcast."""
+    short_batches(df)
     with open(path, "rb") as f:
         content = df.sparkSession.sparkContext.broadcast(f.read())
 
-    @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(Vocabulary.load(content.value), pattern)
         for batch in batches:
             yield pd.Series([work(encoder, value) for value in batch], dtype=object)
 
-    return run
+    def run_pairs(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for made in run(batches):
+            yield pd.DataFrame(made.tolist(), columns=["ids", "decoded"], dtype=object)
+
+    return F.pandas_udf(run, kind) if kind == "binary" else F.pandas_udf(run_pairs, kind)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -242,6 +253,17 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", out: s
     return encoded.withColumn(out, udf(F.col(ids)))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Adds ``ids`` as :func:`encode` and ``decoded`` as :func:`decode` of them, in one pass through Python."""
+    def both(encoder: Encoder, text: str | None) -> tuple[bytes, bytes]:
+        packed = encoder.encode(text)
+        return packed, encoder.decode(packed)
+
+    udf = _with_encoder(docs, path, pattern, both, "ids binary, decoded binary")
+    made = docs.withColumn("__both", udf(F.col("text")))
+    return made.withColumns({"ids": F.col("__both.ids"), "decoded": F.col("__both.decoded")}).drop("__both")
+
+
 def apply_edits(encoded: DataFrame, edits: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encodings after one edit a document, encoding again only what is near it.
 
@@ -249,6 +271,7 @@ def apply_edits(encoded: DataFrame, edits: DataFrame, path: str, pattern: str) -
     end (code points) and new; start = end = length appends. Documents without
     an edit stay as they are.
     """
+    short_batches(encoded)
     with open(path, "rb") as f:
         content = encoded.sparkSession.sparkContext.broadcast(f.read())
 

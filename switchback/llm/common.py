@@ -14,6 +14,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Most rows of a narrow table that may be broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Texts in an Arrow batch.
+BATCH_ROWS = 500
 
 
 def ascii_lower(text: Column) -> Column:
@@ -26,6 +28,17 @@ def order_id(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to hand Python workers at most BATCH_ROWS rows at once.
+
+    Whole texts lie in such a batch several times over, so it decides a worker's memory.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def landed_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Lands a narrow table and marks it for broadcast if its counted rows allow that.
 

@@ -20,6 +20,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from switchback.llm.common import short_batches
+
 SYMBOLS = "#*$%&|<>"
 WHITE = "\t\n\x0b\x0c\r "
 #: Words whose suffixes are sorted together; a longer text is a batch of its own.
@@ -171,7 +173,7 @@ def quality(
     good = (s["n_covered"] <= most_covered * n) & (s["longest_repeat"] <= most_longest * n) & (s["n_symbols"] <= most_symbols * n)
     fields = [s[c.split()[0]].alias(c.split()[0]) for c in STATS.split(", ")]
     struct = F.struct(*fields, failed.alias("base_failed"), (~failed & good).alias("kept"))
-    return docs.withColumn("__stats", F.pandas_udf(_stats, STATS)(F.col("text"))).withColumn(out, struct).drop("__stats")
+    return short_batches(docs).withColumn("__stats", F.pandas_udf(_stats, STATS)(F.col("text"))).withColumn(out, struct).drop("__stats")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
