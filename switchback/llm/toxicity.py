@@ -17,11 +17,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled texts of each label that lexicon and weights are learned on, those of smallest hash.
-SAMPLE = 6_000
+from switchback.llm.common import short_batches
+
+#: Labelled texts that lexicon and weights are learned on, those of smallest hash; shares of labels stay as they are.
+SAMPLE = 15_000
 #: A term is held by so many toxic texts, and this share of its texts is toxic by the lower bound of a 95 % interval.
 LEAST_TEXTS, LEAST_SHARE = 8, 0.5
 STEM_CHARS = (4, 12)
@@ -127,31 +129,37 @@ class LexiconAutomaton:
         return None if state[2] is None else (-state[2][1], state[2][0])
 
 
+class _Hits(dict):
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str):
+        if len(self) > MEMO:
+            self.clear()
+        found = self[word] = self.find(word)
+        return found
+
+
 class Scorer:
     """Features of a text and, with fitted weights, its score."""
 
     def __init__(self, terms: list[tuple[str, bool, float]], weights: list[float] | None = None):
-        self.automaton, self.weights, self.memo = LexiconAutomaton(terms), weights, {}
-
-    def _hit(self, word: str):
-        if word not in self.memo:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            self.memo[word] = self.automaton.hit(word)
-        return self.memo[word]
+        self.weights, self.memo = weights, _Hits(LexiconAutomaton(terms).hit)
 
     def features(self, text: str) -> list[float]:
         """Evidence up to MOST, the summed weights of hits by what they count, and whether an unquoted hit addresses someone."""
         low = text.lower()
-        if not any(map(self._hit, set(_WORD.findall(low)))):
+        distinct = set(_WORD.findall(low))
+        hits = {w: h for w, h in zip(distinct, map(self.memo.__getitem__, distinct)) if h is not None}
+        if not hits:
             return [0.0, 0.0]
         places = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(low)]
         evidence = addressed = 0.0
         for i, (start, end, word) in enumerate(places):
-            hit = self._hit(word)
-            if hit is None:
+            if word not in hits:
                 continue
-            weight, edits = hit
+            weight, edits = hits[word]
             around = places[max(0, i - WINDOW) : i + WINDOW + 1]
             words = {w for _, _, w in around}
             marks = [sum(map(low[a:b].count, QUOTES)) for a, b in ((around[0][0], start), (end, around[-1][1]))]
@@ -168,14 +176,13 @@ class Scorer:
 
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learned from."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``text, toxic`` of at most ``sample`` labelled rows of each label outside the held-out fold."""
+    """``text, toxic`` of at most ``sample`` labelled rows outside the held-out fold."""
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.withColumn("place", place).filter(F.col("place") <= sample).select("doc_id", "toxic")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
@@ -259,7 +266,7 @@ def score(docs: DataFrame, model: tuple[list, list[float]], out: str = "score")
         for batch in batches:
             yield pd.Series([scorer.score(t or "") for t in batch], dtype="float64")
 
-    return docs.withColumn(out, F.pandas_udf(run, "double")(F.col("text")))
+    return short_batches(docs).withColumn(out, F.pandas_udf(run, "double")(F.col("text")))
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
