@@ -30,7 +30,8 @@ KINDS = ("assign", "access", "hex", "format")
 CANDIDATE = r"[A-Za-z0-9+/_-]{12,}={0,2}"
 
 #: Distinct strings of a kind that a model is fitted on, and the longest of them; everything is scored.
-SAMPLE, SAMPLE_CHARS = 1500, 256
+#: Ranks up to 1,000 are cut in each task before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+SAMPLE, SAMPLE_CHARS = 1000, 256
 #: A candidate is a secret if it is this many nats likelier as a credential than as an ordinary run,
 #: and by sign at most SLACK nats less likely than all but this share of the labelled credentials.
 LEAST_NATS, LEAST_QUANTILE, SLACK = 12.0, 0.02, 0.3
