@@ -90,7 +90,7 @@ def op4_secrets(spark, sf_dir):
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    out = bpe.round_trip(docs, path, pattern)
     return out.select(
         "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -148,6 +148,20 @@ def op8_minhash(spark, sf_dir):
     )
 
 
+ORACLES["op8_minhash"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS k FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, k, k + 4), ' ') AS sh FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT p.x, p.y FROM p JOIN n a ON a.doc_id = p.x JOIN n b ON b.doc_id = p.y WHERE 100 * p.c >= 75 * (a.n + b.n - p.c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS seen FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.seen)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.seen) AS component_id, min(r.seen) = r.doc_id AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 @query
 def op9_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
