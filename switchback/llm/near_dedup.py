@@ -4,8 +4,10 @@ Texts of equal shingle sets form a class, and only one document of a class is
 hashed further. Candidates come from bands of minima; inside a bucket they are
 compared with an anchor, never all with all: members that the anchor links
 need no comparison among themselves, since components are asked for. Only
-buckets whose other members are still in several components go on, with twice
-as many anchors each round, until no pair of different components is untested.
+buckets whose other members are still in several components go on, with one
+more anchor at first and GROWTH times as many each round, until no pair of
+different components is untested. Few anchors at first, since what they link
+needs no further comparison.
 """
 
 from __future__ import annotations
@@ -21,13 +23,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from switchback.llm.common import landed_small, order_id
+from switchback.llm.common import landed_small, order_id, short_batches
 from switchback.llm.components import components
 from switchback.session import cut_lineage
 
 #: A pair of similarity 0.75 shares none of 50 bands of 5 minima with probability 1.3e-6.
 BANDS, ROWS = 50, 5
 SHINGLE_WORDS, PERCENT = 5, 75
+GROWTH = 3
 #: Signatures agree in fewer than 60 of 100 minima with probability below 1e-7 at similarity 0.75.
 LEAST_AGREEMENT = 0.6
 #: Remembered word hashes of a task; a full memo is emptied, which changes no result.
@@ -107,7 +110,7 @@ def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataF
                 "bands": [keys[i] if x else None for i, x in enumerate(some)],
             })
 
-    made = docs.select(order_id(F.col("doc_id")).alias("doc"), F.pandas_udf(run, FINGERPRINT)(F.col("text")).alias("f"))
+    made = short_batches(docs).select(order_id(F.col("doc_id")).alias("doc"), F.pandas_udf(run, FINGERPRINT)(F.col("text")).alias("f"))
     return made.select("doc", "f.*")
 
 
@@ -180,11 +183,12 @@ def near_components(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
         ranked = cut_lineage(ranked)
         first = ranked.filter(F.col("rank") < anchors).select("key", F.col("doc").alias("a"), F.col("component").alias("c"), F.col("rank").alias("r"))
         pairs = ranked.join(first, "key").filter((F.col("rank") > F.col("r")) & (F.col("component") != F.col("c")))
-        more = verified(pairs.select("a", F.col("doc").alias("b")).distinct(), reps, docs, percent)
-        links = cut_lineage(links.unionByName(more))
-        found = components(links)
+        more = cut_lineage(verified(pairs.select("a", F.col("doc").alias("b")).distinct(), reps, docs, percent))
+        if not more.isEmpty():
+            links = cut_lineage(links.unionByName(more))
+            found = components(links)
         rest = _open_members(ranked.filter(F.col("rank") >= anchors).select("key", "doc"), found)
-        anchors *= 2
+        anchors *= GROWTH
     by_class = reps.select("digest", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
         "digest", F.coalesce("component", "doc").alias("of_class")
     )

@@ -66,8 +66,7 @@ def test_near_dedup_of_repeated_and_missing_ids(spark):
     assert near_dedup.near_components(docs_of(spark, [])).count() == 0
 
 
-def test_a_bucket_without_links_to_its_anchor(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "ANCHORS", 1)
+def test_a_bucket_without_links_to_its_anchor(spark):
     # one long passage in common, then two families of near copies: every bucket of the passage is mixed
     r, common = random.Random(2), [f"c{i}" for i in range(60)]
     rows = []
