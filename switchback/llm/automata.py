@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections import defaultdict
+from collections import Counter
 
 from pyspark import cloudpickle
 
@@ -118,14 +118,16 @@ class Automaton:
 
 
 class Background:
-    """Pairs of adjacent signs in ordinary candidates, each pair with half a count more."""
+    """Pairs of adjacent signs in ordinary candidates, each pair with half a count more.
 
-    def __init__(self, strings: list[str]):
-        pairs, firsts = defaultdict(int), defaultdict(int)
-        for s in strings:
-            for a, b in zip("^" + s, s):
-                pairs[a, b] += 1
-                firsts[a] += 1
+    ``ordinary``: the candidates, or how often each pair is in them.
+    """
+
+    def __init__(self, ordinary: list[str] | dict[tuple[str, str], int]):
+        pairs = ordinary if isinstance(ordinary, dict) else Counter(p for s in ordinary for p in zip("^" + s, s))
+        firsts: Counter = Counter()
+        for (a, _), n in pairs.items():
+            firsts[a] += n
         self.pairs = {k: math.log((n + 0.5) / (firsts[k[0]] + 34)) for k, n in pairs.items()}
         self.rest = {a: math.log(0.5 / (n + 34)) for a, n in firsts.items()}
 

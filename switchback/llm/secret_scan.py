@@ -3,13 +3,14 @@
 The matches of the fixed patterns in the corpus are the labelled credentials. A
 prefix tree of each kind is merged into a probabilistic automaton, and every
 long run of token signs anywhere is scored by the likelihood of its format
-against that of ordinary runs.
+against that of ordinary runs, whose pairs of signs are counted over all documents.
 """
 
 from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,9 +30,10 @@ KINDS = ("assign", "access", "hex", "format")
 #: What is scored: runs of token signs.
 CANDIDATE = r"[A-Za-z0-9+/_-]{12,}={0,2}"
 
-#: Distinct strings of a kind that a model is fitted on, and the longest of them; everything is scored.
-#: Ranks up to 1,000 are cut in each task before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-SAMPLE, SAMPLE_CHARS = 1000, 256
+#: Distinct credentials of a kind that its automaton is fitted on, and the longest of them; everything is scored.
+SAMPLE, SAMPLE_CHARS = 1500, 256
+#: Ranks up to this are cut in each task before the shuffle.
+RANK_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 #: A candidate is a secret if it is this many nats likelier as a credential than as an ordinary run,
 #: and by sign at most SLACK nats less likely than all but this share of the labelled credentials.
 LEAST_NATS, LEAST_QUANTILE, SLACK = 12.0, 0.02, 0.3
@@ -51,9 +53,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 class Formats:
-    """Automata of the labelled kinds against the background."""
+    """Automata of the labelled kinds against the background, fitted on ``ordinary`` runs or their counted pairs."""
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]):
+    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str] | dict[tuple[str, str], int]):
         self.background = Background(ordinary)
         self.models = []
         for kind in KINDS:
@@ -99,34 +101,53 @@ class Scanner:
 
 
 def labelled_strings(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``kind, value``: for each kind the ``sample`` distinct base matches, and ordinary runs, of smallest hash.
+    """``kind, value``: for each kind the ``sample`` distinct base matches of smallest hash.
 
     All documents are searched; equal strings are counted once before they are ranked.
     """
+    conf = docs.sparkSession.conf
+    if int(conf.get(RANK_LIMIT)) < sample:
+        conf.set(RANK_LIMIT, str(sample))
     text = F.coalesce("text", F.lit(""))
     of = lambda kind, found: F.transform(found, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
     both = F.concat(
         of("assign", F.regexp_extract_all(text, F.lit("(?i)" + ASSIGN), F.lit(2))),
         of("access", F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0))),
         of("hex", F.regexp_extract_all(text, F.lit(_HEX.pattern), F.lit(0))),
-        of("ordinary", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))),
     )
     least = F.element_at(F.create_map(*[F.lit(x) for k, n in LEAST.items() for x in (k, n)]), F.col("kind"))
     rows = docs.select(F.explode(both).alias("x")).select("x.*").filter(
-        (F.char_length("value") >= F.coalesce(least, F.lit(12))) & (F.char_length("value") <= SAMPLE_CHARS)
+        (F.char_length("value") >= least) & (F.char_length("value") <= SAMPLE_CHARS)
     )
-    plain = ~F.col("value").rlike(rf"^(?:{_HEX.pattern}|{ACCESS})$")  # ordinary runs are not matches themselves
-    distinct = rows.filter((F.col("kind") != "ordinary") | plain).distinct()
-    ranked = distinct.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")))
+    ranked = rows.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")))
     return ranked.filter(F.col("rank") <= sample).select("kind", "value")
 
 
+def ordinary_pairs(docs: DataFrame) -> DataFrame:
+    """``a, b, n``: how often sign ``b`` follows ``a`` in the distinct ordinary runs of all documents, ``^`` before the first sign.
+
+    Runs of any length count. There are at most as many rows as pairs of token signs, whatever the size of ``docs``.
+    """
+    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(CANDIDATE), F.lit(0))
+    plain = ~F.col("value").rlike(rf"^(?:{_HEX.pattern}|{ACCESS})$")  # ordinary runs are not matches themselves
+    runs = docs.select(F.explode(found).alias("value")).filter(plain).distinct()
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs: Counter = Counter()
+        for batch in batches:
+            for s in batch["value"]:
+                pairs.update(zip("^" + s, s))
+        yield pd.DataFrame([(a, b, n) for (a, b), n in pairs.items()], columns=["a", "b", "n"])
+
+    return runs.mapInPandas(count, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
-    """Fits the automata on the driver, on at most ``sample`` strings of a kind."""
+    """Fits the automata on the driver, on at most ``sample`` credentials of a kind and the pairs of all ordinary runs."""
     strings: dict[str, list[str]] = {}
     for row in sorted(labelled_strings(docs, sample).collect()):
         strings.setdefault(row["kind"], []).append(row["value"])
-    return Formats(strings, strings.get("ordinary", []))
+    return Formats(strings, {(r["a"], r["b"]): r["n"] for r in ordinary_pairs(docs).collect()})
 
 
 def scan(docs: DataFrame, formats: Formats | None, spans: str = "spans") -> DataFrame:

@@ -228,6 +228,19 @@ def test_scan_of_odd_texts(spark, monkeypatch):
     assert secret_scan.scan(docs.limit(0), None).count() == 0
 
 
+def test_background_counts_every_ordinary_run(spark):
+    r = random.Random(11)
+    runs = ["-".join(r.choice(PLAIN) for _ in range(4)) for _ in range(400)] + ["Q" * 300 + "Zq"]
+    docs = docs_of(spark, [(i, f"{s} and {s} token=abcdef0123456789") for i, s in enumerate(runs)])
+    want = defaultdict(int)
+    for s in set(runs):
+        for p in zip("^" + s, s):
+            want[p] += 1
+    assert {(x["a"], x["b"]): x["n"] for x in secret_scan.ordinary_pairs(docs).collect()} == want
+    few, many = secret_scan.learn(docs, 20).background, secret_scan.learn(docs, 1500).background
+    assert few.pairs == many.pairs and few.pairs.keys() == want.keys() and ("Z", "q") in few.pairs
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
