@@ -28,10 +28,15 @@ SAMPLE = 15_000
 LEAST_TEXTS, LEAST_SHARE = 8, 0.5
 STEM_CHARS = (4, 12)
 WORD = r"[\p{L}\p{N}]+"
-_WORD = re.compile(r"\w+(?:[*@$]+\w+)*")
+SIGNS = "*@$"
+_WORD = re.compile(r"[*@$]*\w+(?:[*@$]+\w+)*")
 WINDOW = 8
 #: What a misspelled hit and a quoted one count against an exact one. Labels hold too few of them to learn it.
 MISSPELLED, QUOTED = 0.7, 0.15
+#: Words of four letters may be misspelled from this weight on: of twenty texts with the word at most one is clean.
+RARE_WEIGHT = 3.0
+#: Words near a term that so many clean texts hold, and toxic ones no more often, are no misspellings of it.
+ORDINARY_TEXTS = 3
 #: Evidence beyond which a text is no more toxic.
 MOST = 8.0
 MEMO = 300_000
@@ -52,18 +57,25 @@ def edits_allowed(chars: int) -> int:
 class LexiconAutomaton:
     """Reads words and finds the term they are, begin with, or misspell.
 
-    ``terms``: (text, whether it is a beginning, weight). The first sign has to
-    be right. ``hit(word)``: (weight, edits) of the best term, or None.
+    ``terms``: (text, whether it is a beginning, weight). Terms of weight 0 are
+    ordinary words and read without edits. The first sign has to be right
+    unless ``first_edits``. ``hit(word)``: (weight, edits) of the best term, or None.
     """
 
-    def __init__(self, terms: list[tuple[str, bool, float]]):
+    def __init__(self, terms: list[tuple[str, bool, float]], first_edits: bool = False):
+        self.first_edits = first_edits
         self.children: list[dict[str, int]] = [{}]
         self.words: list[tuple[int, float] | None] = [None]
         self.stems: list[tuple[int, float] | None] = [None]
         self.reach = [0]
         for text, stem, weight in terms:
             allowed = edits_allowed(len(text) - (2 if stem else 0))
+            if len(text) == 4 and not stem and weight >= RARE_WEIGHT:
+                allowed = 1
+            if not weight:
+                allowed = 0
             at = 0
+            self.reach[0] = max(self.reach[0], allowed if first_edits else 0)
             for c in text:
                 if c not in self.children[at]:
                     self.children[at][c] = len(self.children)
@@ -84,7 +96,7 @@ class LexiconAutomaton:
         todo = list(nodes.items())
         while todo:  # a sign of the term left out
             node, edits = todo.pop()
-            if node and edits < self.reach[node]:
+            if edits < self.reach[node]:
                 for child in self.children[node].values():
                     if edits + 1 <= self.reach[child] and nodes.get(child, 9) > edits + 1:
                         nodes[child] = edits + 1
@@ -106,7 +118,7 @@ class LexiconAutomaton:
             child = self.children[node].get(c)
             if child is not None and edits <= self.reach[child]:
                 nodes[child] = min(nodes.get(child, 9), edits)
-            if node and edits < self.reach[node]:
+            if edits < self.reach[node]:
                 nodes[node] = min(nodes.get(node, 9), edits + 1)
                 for child in self.children[node].values():
                     if edits + 1 <= self.reach[child]:
@@ -145,7 +157,16 @@ class Scorer:
     """Features of a text and, with fitted weights, its score."""
 
     def __init__(self, terms: list[tuple[str, bool, float]], weights: list[float] | None = None):
-        self.weights, self.memo = weights, _Hits(LexiconAutomaton(terms).hit)
+        self.automaton = LexiconAutomaton(terms, first_edits=True)
+        self.weights, self.memo = weights, _Hits(self.find)
+
+    def find(self, word: str) -> tuple[float, int] | None:
+        """The hit of a word without the signs before it, or with them if it is an ordinary word then, as in ``$lime``."""
+        bare = word.lstrip(SIGNS)
+        found = self.automaton.hit(bare)
+        if found and not found[0] and bare != word and word[0] != "*":  # stars are emphasis too
+            found = self.automaton.hit(word)
+        return found if found and found[0] else None
 
     def features(self, text: str) -> list[float]:
         """Evidence up to MOST, the summed weights of hits by what they count, and whether an unquoted hit addresses someone."""
@@ -219,6 +240,16 @@ def learn_terms(labelled: DataFrame) -> list[tuple[str, bool, float]]:
     return out
 
 
+def ordinary_words(labelled: DataFrame, terms: list[tuple[str, bool, float]]) -> list[tuple[str, bool, float]]:
+    """Words of clean labelled texts that would be read as misspellings, as terms of weight 0."""
+    totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    words = labelled.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    counted = words.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    common = counted.filter((F.col("b") >= ORDINARY_TEXTS) & (F.col("a") * totals[0] <= F.col("b") * totals[1])).select("term")
+    find = LexiconAutomaton(terms, first_edits=True).hit
+    return sorted((r["term"], False, 0.0) for r in common.collect() if (hit := find(r["term"])) and hit[1])
+
+
 def fit_weights(features: np.ndarray, toxic: np.ndarray, rounds: int = 30, ridge: float = 1.0) -> list[float]:
     """Logistic regression by Newton's method on the bounded sample."""
     x = np.hstack([np.ones((len(features), 1)), features])
@@ -238,6 +269,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[lis
     terms = learn_terms(labelled)
     if not terms:
         return [], [-2.0, 0.0, 0.0]
+    terms += ordinary_words(labelled, terms)
     made = labelled.select("toxic", F.pandas_udf(_features(docs, terms), "array<double>")("text").alias("x")).collect()
     weights = fit_weights(np.array([r["x"] for r in made]), np.array([r["toxic"] for r in made], float))
     return terms, [weights[0], *(max(0.0, w) for w in weights[1:])]  # a hit never speaks against toxicity

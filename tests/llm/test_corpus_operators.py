@@ -267,6 +267,27 @@ def test_automaton_equals_edit_distance():
     assert stems.hit("loweiabc") == (2.0, 0) and stems.hit("lowe") is None and stems.hit("xlowei") is None
 
 
+def test_automaton_equals_plain_edit_distance_at_the_first_letter_too():
+    r = random.Random(12)
+    terms = ["scum", "idiot", "stupid", "pathetic", "worthless"]
+    auto = toxicity.LexiconAutomaton([(t, False, 4.0) for t in terms], first_edits=True)
+    allowed = {t: max(1, toxicity.edits_allowed(len(t))) for t in terms}
+    for _ in range(3000):
+        w = list(r.choice(terms))
+        for _ in range(r.randint(0, 3)):
+            k = r.choice([0, r.randint(0, len(w))])
+            w[k : k + r.randint(0, 1)] = r.choice(["", "a", "s", "$", "1"])
+        w = "".join(w)
+        near = [d for t in terms if (d := distance(w, t)) <= allowed[t]]
+        hit = auto.hit(w)
+        assert (hit is not None) == bool(near) and (not near or hit[1] == min(near)), w
+    scorer = toxicity.Scorer([(t, False, 4.0) for t in terms] + [("slum", False, 0.0)])
+    for text in ("diot", "1diot", "ztupid", "$tupid", "**idiot**", "5cum", "$lum"):
+        assert scorer.features(f"a {text} b")[0] > 0, text
+    assert scorer.features("you slum *slum*") == [0.0, 0.0]
+    assert toxicity.Scorer([("scum", False, 1.0)]).features("sum") == [0.0, 0.0]
+
+
 def test_toxicity_is_learned_and_quotation_counts_less(spark):
     r = random.Random(9)
     bad, plain = ["idiot", "moron", "worthless"], [f"w{i}" for i in range(200)]
