@@ -33,8 +33,9 @@ _WORD = re.compile(r"[*@$]*\w+(?:[*@$]+\w+)*")
 WINDOW = 8
 #: What a misspelled hit and a quoted one count against an exact one. Labels hold too few of them to learn it.
 MISSPELLED, QUOTED = 0.7, 0.15
-#: Words of four letters may be misspelled from this weight on: of twenty texts with the word at most one is clean.
-RARE_WEIGHT = 3.0
+#: From this weight on (of 55 texts with the term at most one is clean) terms may be misspelled at the first letter,
+#: with four letters, and beside a beginning of theirs. Weaker terms would take too many ordinary words with them.
+RARE_WEIGHT = 4.0
 #: Words near a term that so many clean texts hold, and toxic ones no more often, are no misspellings of it.
 ORDINARY_TEXTS = 3
 #: Evidence beyond which a text is no more toxic.
@@ -141,6 +142,17 @@ class LexiconAutomaton:
         return None if state[2] is None else (-state[2][1], state[2][0])
 
 
+def reader(terms: list[tuple[str, bool, float]]):
+    """``hit`` of all terms, those of RARE_WEIGHT with edits at the first letter; fewest edits first, then the largest weight."""
+    rare = [t for t in terms if not t[2] or t[2] >= RARE_WEIGHT]
+    both = [LexiconAutomaton(rare, first_edits=True), LexiconAutomaton([t for t in terms if 0 < t[2] < RARE_WEIGHT])]
+
+    def hit(word: str) -> tuple[float, int] | None:
+        return min((h for h in (a.hit(word) for a in both) if h), key=lambda h: (h[1], -h[0]), default=None)
+
+    return hit
+
+
 class _Hits(dict):
     def __init__(self, find):
         super().__init__()
@@ -157,15 +169,15 @@ class Scorer:
     """Features of a text and, with fitted weights, its score."""
 
     def __init__(self, terms: list[tuple[str, bool, float]], weights: list[float] | None = None):
-        self.automaton = LexiconAutomaton(terms, first_edits=True)
+        self.hit = reader(terms)
         self.weights, self.memo = weights, _Hits(self.find)
 
     def find(self, word: str) -> tuple[float, int] | None:
         """The hit of a word without the signs before it, or with them if it is an ordinary word then, as in ``$lime``."""
         bare = word.lstrip(SIGNS)
-        found = self.automaton.hit(bare)
+        found = self.hit(bare)
         if found and not found[0] and bare != word and word[0] != "*":  # stars are emphasis too
-            found = self.automaton.hit(word)
+            found = self.hit(word)
         return found if found and found[0] else None
 
     def features(self, text: str) -> list[float]:
@@ -208,7 +220,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 def learn_terms(labelled: DataFrame) -> list[tuple[str, bool, float]]:
-    """Words and beginnings of words that tell toxic texts, with how far each rules out a clean text as its weight."""
+    """Words and beginnings of words that tell toxic texts, with how far each rules out a clean text as its weight.
+
+    A term is left out if a shorter beginning of it tells as much. Words of
+    RARE_WEIGHT stay, since beginnings are allowed fewer edits or none.
+    """
     totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
@@ -233,7 +249,7 @@ def learn_terms(labelled: DataFrame) -> list[tuple[str, bool, float]]:
     out = []
     for r in sorted(rows, key=lambda r: (not r["stem"], len(r["term"]), r["term"])):
         shorter = max((kept[r["term"][:k]] for k in range(1, len(r["term"]) + 1) if r["term"][:k] in kept), default=None)
-        if shorter is None or r["low"] > shorter + 0.05:
+        if shorter is None or r["low"] > shorter + 0.05 or not r["stem"] and r["weight"] >= RARE_WEIGHT:
             if r["stem"]:
                 kept[r["term"]] = r["low"]
             out.append((r["term"], r["stem"], float(r["weight"])))
@@ -246,7 +262,7 @@ def ordinary_words(labelled: DataFrame, terms: list[tuple[str, bool, float]]) ->
     words = labelled.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
     counted = words.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     common = counted.filter((F.col("b") >= ORDINARY_TEXTS) & (F.col("a") * totals[0] <= F.col("b") * totals[1])).select("term")
-    find = LexiconAutomaton(terms, first_edits=True).hit
+    find = reader(terms)
     return sorted((r["term"], False, 0.0) for r in common.collect() if (hit := find(r["term"])) and hit[1])
 
 
