@@ -69,12 +69,26 @@ def read_osm(spark: SparkSession, path: str) -> DataFrame:
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
     """(file, answer): documents of landed files as text, whether indented over many lines or one a line.
 
-    A file is one document unless every line of it is one of its own.
+    A file has one document a line if its first line that is not blank is a whole
+    JSON object or any line is an object with ``elements``; each of its lines is
+    then an answer of its own, readable or not, and the file is split like any
+    text. Other files are one document and one row each.
     """
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    lines = F.filter(F.split("value", "\\r?\\n"), lambda v: F.trim(v) != "")
-    a_line_each = F.forall(lines, lambda v: F.startswith(F.trim(v), F.lit("{")) & F.endswith(F.trim(v), F.lit("}")))
-    return files.select("file", F.explode(F.when(a_line_each, lines).otherwise(F.array("value"))).alias("answer"))
+    line = F.trim(F.col("value"))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
+    ).filter(F.regexp_replace("value", r"\s", "") != "")
+    closed = F.startswith(line, F.lit("{")) & F.endswith(line, F.lit("}"))
+    known = lines.select(
+        "file", "block", "at",
+        (closed & F.get_json_object(line, "$").isNotNull()).alias("whole"), (closed & F.get_json_object(line, "$.elements").isNotNull()).alias("answer"),
+    )
+    first = F.min_by("whole", F.struct("block", "at"))
+    kinds = known.groupBy("file").agg((first | F.max("answer")).alias("by_line"))
+    indented = [r["file"] for r in kinds.filter(~F.col("by_line")).select("file").collect()]
+    in_file = F.col("_metadata.file_path").isin(indented)  # other files are not opened whole
+    one_each = spark.read.text(path, wholetext=True).filter(in_file).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("answer"))
+    return lines.filter(~F.col("file").isin(indented)).select("file", F.col("value").alias("answer")).unionByName(one_each)
 
 
 def from_answers(answers: DataFrame) -> DataFrame:

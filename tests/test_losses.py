@@ -65,6 +65,16 @@ def test_answers_in_any_layout(spark, tmp_path):
     assert len(bad) == 1 and bad[0]["file"].endswith("broken.json") and bad[0]["unreadable"] == 1
 
 
+def test_a_bad_line_loses_no_other_line(spark, tmp_path):
+    of = lambda i: json.dumps({"elements": [{"type": "way", "id": i, "tags": {"highway": "path"}, "geometry": [{"lat": 1.0, "lon": 2.0}]}]})
+    (tmp_path / "cut last.json").write_text("\n" + of(1) + "\n" + of(2) + "\n" + of(3)[:40])
+    (tmp_path / "cut_first.json").write_text(of(4)[:40] + "\r\n" + of(5) + "\r\n\r\n" + of(6) + "\r\n")
+    (tmp_path / "indented.json").write_text(json.dumps(json.loads(of(7)), indent=1))
+    assert sorted(f["osm_id"] for f in RD.read_osm(spark, str(tmp_path)).collect()) == [1, 2, 5, 6, 7]
+    bad = {r["file"].rsplit("/", 1)[1]: r["unreadable"] for r in RD.unreadable_answers(RD.read_answers(spark, str(tmp_path))).collect()}
+    assert sorted(bad.values()) == [1, 1] and "indented.json" not in bad
+
+
 def test_merge_leaves_a_large_target_where_it_is(spark, tmp_path):
     target = spark.range(1000).select(F.col("id"), F.lit("a").alias("v"))
     spark.createDataFrame([(5, "b"), (2000, "c")], "id bigint, v string").write.parquet(str(tmp_path / "source"))
