@@ -45,6 +45,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def table_path(spark: SparkSession) -> str:
+    """A new folder for an intermediate table, below the application's folder in the shared one."""
+    return f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back.
 
@@ -54,6 +59,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Tables lie in a folder of the application, so a clean-up can tell them apart.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = table_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
