@@ -23,11 +23,24 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def fresh_name(df: DataFrame, name: str, *more: str) -> str:
+    """``name``, with underscores until no column of ``df`` and none of ``more`` is called so."""
+    taken = {c.lower() for c in (*df.columns, *more)}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def order_id(doc_id: Column) -> Column:
     """A doc_id to sort by; rows without one come last and count as one document."""
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Rows whose labels are never learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
 def short_batches(df: DataFrame) -> DataFrame:
     """``df``, its session set to hand Python workers at most BATCH_ROWS rows at once.
 

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchback.llm import bpe, chat, line_dedup, mixing, near_dedup, repetition, resharding, secret_scan, syncmers, toxicity
+from switchback.llm import (
+    bpe, chat, fill_middle, line_dedup, mixing, near_dedup, neighbours, repetition, resharding, secret_scan, syncmers, toxicity, whitening,
+)
+from switchback.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,7 +105,7 @@ def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
-        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
@@ -198,3 +201,43 @@ SELECT doc_id, size, source_size, target, size * (CAST(floor(rate) AS BIGINT) +
 def op10_repetition(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repetition.quality(docs).select("doc_id", "quality.*")
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_fill_middle(spark, sf_dir):
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_fill_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+t AS (SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+  CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT doc_id, text, n, form, array_to_string(list_slice(u, 1, a), '') AS pre, array_to_string(list_slice(u, a + 1, b), '') AS mid,
+  array_to_string(list_slice(u, b + 1, n), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op13_neighbours(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = neighbours.learn(docs, table(spark, sf_dir, "labels"))
+    return neighbours.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )

@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchback.llm.common import short_batches
+from switchback.llm.common import held_out, short_batches
 
 #: Labelled texts that lexicon and weights are learned on, those of smallest hash; shares of labels stay as they are.
 SAMPLE = 15_000
@@ -207,11 +207,6 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def held_out(doc_id: Column) -> Column:
-    """Rows whose labels are never learned from."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``text, toxic`` of at most ``sample`` labelled rows outside the held-out fold."""
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()

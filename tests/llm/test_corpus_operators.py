@@ -351,5 +351,5 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
