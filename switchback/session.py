@@ -61,4 +61,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = table_path(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    landed = spark.read.schema(df.schema).parquet(path)
+    landed._table_path = path
+    return landed
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Removes tables that ``cut_lineage`` returned, once nothing reads them any more; other DataFrames are left alone.
+
+    What was made of a dropped table has to be written before.
+    """
+    for df in tables:
+        path = getattr(df, "_table_path", None)
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
