@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchback.session import cut_lineage
+from switchback.session import cut_lineage, drop_tables
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,13 +13,15 @@ def components(edges: DataFrame) -> DataFrame:
 
     Both stars are an aggregate and a join on a node, so a node's neighbours
     are never gathered; large partitions of the joins can be split. The number
-    of rounds grows with the logarithm of the longest path.
+    of rounds grows with the logarithm of the longest path, and only the last
+    round's table stays.
     """
     stars = cut_lineage(_down(edges.select("a", "b")))
     before = None
     while (now := _state(stars)) != before:
         before = now
-        stars = cut_lineage(_small_star(_large_star(stars)))
+        last, stars = stars, cut_lineage(_small_star(_large_star(stars)))
+        drop_tables(last)
     roots = stars.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return stars.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
 

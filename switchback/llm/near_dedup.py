@@ -1,13 +1,14 @@
 """MinHash near-dedup: banded minima, signature and exact verification, components.
 
 Texts of equal shingle sets form a class, and only one document of a class is
-hashed further. Candidates come from bands of minima; inside a bucket they are
-compared with an anchor, never all with all: members that the anchor links
-need no comparison among themselves, since components are asked for. Only
-buckets whose other members are still in several components go on, with one
-more anchor at first and GROWTH times as many each round, until no pair of
-different components is untested. Few anchors at first, since what they link
-needs no further comparison.
+hashed further. Candidates come from bands of minima. All members of a bucket
+are compared with its anchor, the member that shares most buckets, never all
+with all: those that the anchor C links need no comparison among themselves,
+since components are asked for. Two others, A and B, share at most
+min(|A and C|, |B and C|) shingles of C, so a link of theirs needs a known number
+of shingles outside of C in common. Only pairs of different components that can
+have those, found by their rarest shingles outside of C, are compared too. No
+pair that shares a band is left out but by such an exact bound.
 """
 
 from __future__ import annotations
@@ -20,17 +21,18 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchback.llm.common import landed_small, order_id, short_batches
+from switchback.llm.common import fresh_name, landed_small, order_id, short_batches
 from switchback.llm.components import components
-from switchback.session import cut_lineage
+from switchback.session import cut_lineage, drop_tables
 
 #: A pair of similarity 0.75 shares none of 50 bands of 5 minima with probability 1.3e-6.
 BANDS, ROWS = 50, 5
 SHINGLE_WORDS, PERCENT = 5, 75
-GROWTH = 3
+#: How often shingles that no two components share, and then documents with too few others, are taken out.
+PEELS = 2
 #: Signatures agree in fewer than 60 of 100 minima with probability below 1e-7 at similarity 0.75.
 LEAST_AGREEMENT = 0.6
 #: Remembered word hashes of a task; a full memo is emptied, which changes no result.
@@ -135,6 +137,14 @@ def _linked(percent: int):
     return run
 
 
+def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) with the texts ``t_a`` and ``t_b``, the pairs of one ``a`` side by side."""
+    ids = landed_small(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct())
+    texts = docs.select(order_id(F.col("doc_id")).alias("doc"), "text").join(ids, "doc")
+    own = lambda k: texts.select(F.col("doc").alias(k), F.col("text").alias(f"t_{k}"))
+    return pairs.join(own("b"), "b").join(own("a"), "a")
+
+
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int = PERCENT, agreement: float = LEAST_AGREEMENT) -> DataFrame:
     """Those of the candidate ``pairs`` (a, b) that are linked: first by sizes and signatures, then on full sets."""
     r = reps.select("doc", "n_shingles", "signature")
@@ -143,18 +153,86 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int =
     near = near.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     near = near.filter(F.pandas_udf(_agreement_udf, "double")("s_a", "s_b") >= agreement)
     likely = cut_lineage(near.select("a", "b").distinct())
-    ids = landed_small(likely.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
-    texts = docs.select(order_id(F.col("doc_id")).alias("doc"), "text").join(ids, "doc")
-    both = likely.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("t_a")), "a").join(
-        texts.select(F.col("doc").alias("b"), F.col("text").alias("t_b")), "b"
-    )
-    return both.filter(F.pandas_udf(_linked(percent), "boolean")("t_a", "t_b")).select("a", "b").distinct()
+    return _with_texts(likely, docs).filter(F.pandas_udf(_linked(percent), "boolean")("t_a", "t_b")).select("a", "b").distinct()
 
 
 def _agreement_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return _agreement(a, b)
 
 
+def _outside(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """Sizes of the second set and of the intersection, and the second set without the first."""
+    hashes, last = _WordHashes(), (None, None)
+    for left, right in batches:
+        rows = []
+        for a, b in zip(left, right):
+            if last[0] is not a and last[0] != a:
+                last = (a, shingle_set(a, hashes))
+            other = shingle_set(b, hashes)
+            rest = np.setdiff1d(other, last[1], assume_unique=True)
+            rows.append((len(other), len(other) - len(rest), rest.view(np.int64)))
+        yield pd.DataFrame(rows, columns=["n", "both", "rest"])
+
+
+def compared_with_anchors(reps: DataFrame) -> DataFrame:
+    """``a, b``: the anchor of each bucket with every other member, a pair once over all buckets.
+
+    The anchor is the member whose buckets hold most documents, of several the smallest doc.
+    """
+    rows = reps.select("doc", F.explode("bands").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = cut_lineage(rows.join(sizes, "key"))
+    middle = members.groupBy("doc").agg(F.sum("size").alias("met"))
+    ranked = members.select("key", "doc").join(middle, "doc")
+    anchors = ranked.groupBy("key").agg(F.max(F.struct("met", -F.col("doc"))).alias("x")).select("key", (-F.col("x.col2")).alias("a"))
+    pairs = cut_lineage(members.select("key", F.col("doc").alias("b")).join(anchors, "key").filter("a <> b").select("a", "b").distinct())
+    drop_tables(members)
+    return pairs
+
+
+def beyond_anchors(compared: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``a, b``: pairs of different components, both compared with one anchor, that its exact bounds leave open."""
+
+    def need(x: Column, y: Column) -> Column:
+        """Shingles that linked sets of these sizes share at least."""
+        return F.ceil(percent * (x + y) / (100 + percent))
+
+    sizes = reps.groupBy("doc").agg(F.min("n_shingles").alias("least"))
+    labelled = compared.withColumnRenamed("a", "anchor").withColumnRenamed("b", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left")
+    labelled = cut_lineage(labelled.withColumn("component", F.coalesce("component", "doc")))
+    several = labelled.join(sizes, "doc").groupBy("anchor").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("least").alias("least"))
+    open_ = labelled.join(several.filter("x < y").select("anchor", "least"), "anchor")
+    texts = _with_texts(cut_lineage(open_.withColumnsRenamed({"anchor": "a", "doc": "b"})), docs)
+    made = texts.withColumn("o", F.pandas_udf(_outside, "n long, both long, rest array<long>")("t_a", "t_b")).drop("t_a", "t_b")
+    made = made.select(F.col("a").alias("anchor"), F.col("b").alias("doc"), "component", "least", "o.*")
+    # a partner is no smaller than percent of n, and no smaller than any document compared with this anchor
+    made = made.withColumn("must", need(F.col("n"), F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))) - F.col("both"))
+    made = cut_lineage(made.filter(F.size("rest") >= F.col("must")))
+
+    rows = made.select("anchor", "doc", "component", "n", F.greatest("must", F.lit(1)).alias("must"), F.explode("rest").alias("h"))
+    for _ in range(PEELS):
+        shared = rows.groupBy("anchor", "h").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("held"))
+        rows = rows.drop("held").join(shared.filter("x < y").select("anchor", "h", "held"), ["anchor", "h"])
+        enough = rows.groupBy("anchor", "doc").agg(F.count("*").alias("left"), F.min("must").alias("least")).filter("left >= least")
+        rows = cut_lineage(rows.join(enough.select("anchor", "doc"), ["anchor", "doc"]))
+    # of so many shared shingles one is among the rarest of each, when that many less one are left away
+    own = rows.groupBy("anchor", "doc", "component", "n").agg(F.array_sort(F.collect_list(F.struct("held", "h"))).alias("of"), F.min("must").alias("must"))
+    rare = own.select("anchor", "doc", "component", "n", F.explode(F.slice("of", F.lit(1), F.size("of") - F.col("must").cast("int") + 1)).alias("r"))
+    rare = cut_lineage(rare.select("anchor", "doc", "component", "n", F.col("r.h").alias("h")))
+
+    def meet(left: DataFrame, right: DataFrame, on: list[str], further: Column) -> DataFrame:
+        x, y = left.alias("x"), right.alias("y")
+        same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
+        similar = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+        pairs = x.join(y, [*same, F.col("x.component") != F.col("y.component"), similar, further])
+        return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"))
+
+    inside = made.filter("must <= 0").select("anchor", "doc", "component", "n", "both")  # they may be linked by shingles of C alone
+    enough = need(F.col("x.n"), F.col("y.n")) <= F.least("x.both", "y.both")
+    ordered = F.col("x.doc") < F.col("y.doc")
+    return meet(rare, rare, ["anchor", "h"], ordered).unionByName(meet(inside, inside, ["anchor"], enough & ordered)).distinct()
+
+
 def near_components(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:
     """``doc, n_shingles, component``, a row for each row of ``docs``; ids as of ``order_id``.
 
@@ -169,26 +247,12 @@ def near_components(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, perce
         prints.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc").alias("doc"), F.min_by(wide, "doc").alias("f"))
         .select("digest", "doc", "f.*")
     )
-    rows_of = reps.select("doc", F.explode("bands").alias("key"))
-    buckets = rows_of.groupBy("key").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last")).filter(F.col("anchor") < F.col("last"))
-    members = cut_lineage(rows_of.join(buckets.select("key", "anchor"), "key"))
-    tested = members.filter(F.col("doc") != F.col("anchor")).select(F.col("anchor").alias("a"), F.col("doc").alias("b")).distinct()
-    links = cut_lineage(verified(tested, reps, docs, percent).unionByName(_same_doc(prints)))
+    compared = compared_with_anchors(reps)
+    links = cut_lineage(verified(compared, reps, docs, percent).unionByName(_same_doc(prints)))
     found = components(links)
-    rest = _open_members(members.filter(F.col("doc") != F.col("anchor")), found)
-    anchors = 1
-    while not rest.isEmpty():
-        # ranks from 0 over what the first anchor has not settled
-        ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("doc")) - 1)
-        ranked = cut_lineage(ranked)
-        first = ranked.filter(F.col("rank") < anchors).select("key", F.col("doc").alias("a"), F.col("component").alias("c"), F.col("rank").alias("r"))
-        pairs = ranked.join(first, "key").filter((F.col("rank") > F.col("r")) & (F.col("component") != F.col("c")))
-        more = cut_lineage(verified(pairs.select("a", F.col("doc").alias("b")).distinct(), reps, docs, percent))
-        if not more.isEmpty():
-            links = cut_lineage(links.unionByName(more))
-            found = components(links)
-        rest = _open_members(ranked.filter(F.col("rank") >= anchors).select("key", "doc"), found)
-        anchors *= GROWTH
+    more = cut_lineage(verified(beyond_anchors(compared, found, reps, docs, percent), reps, docs, percent))
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
     by_class = reps.select("digest", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
         "digest", F.coalesce("component", "doc").alias("of_class")
     )
@@ -205,19 +269,11 @@ def _same_doc(prints: DataFrame) -> DataFrame:
     return repeated.join(named, "digest").filter(F.col("doc") != F.col("name")).select(F.col("name").alias("a"), F.col("doc").alias("b"))
 
 
-def _open_members(untested: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of buckets in which some untested pair lies in different components."""
-    labelled = untested.select("key", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", F.coalesce("component", "doc").alias("component")
-    )
-    several = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(F.col("x") < F.col("y"))
-    return cut_lineage(labelled.join(several.select("key"), "key"))
-
-
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document has the smallest doc_id of its component."""
-    found = near_components(docs).filter(F.col("doc") == F.col("component")).select(F.col("doc").alias("__doc")).distinct()
-    return docs.withColumn("__doc", order_id(F.col("doc_id"))).join(found, "__doc", "left_semi").select(*docs.columns)
+    own = fresh_name(docs, "own")
+    found = near_components(docs).filter(F.col("doc") == F.col("component")).select(F.col("doc").alias(own)).distinct()
+    return docs.withColumn(own, order_id(F.col("doc_id"))).join(found, own, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

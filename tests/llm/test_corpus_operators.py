@@ -353,3 +353,17 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
 def test_every_operator_has_a_query():
     assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_near_dedup_of_a_large_family_around_the_threshold(spark):
+    # edits from few words, sizes apart: links inside and outside of what the anchor holds
+    r = random.Random(9)
+    base = [f"b{i}" for i in range(90)]
+    rows = []
+    for i in range(150):
+        own = list(base[: r.randint(70, 90)])
+        for _ in range(r.randint(0, 6)):
+            own[r.randrange(len(own))] = f"x{r.randint(0, 3)}"
+        rows.append((i, " ".join(own + [f"t{k}" for k in range(r.choice([0, 0, 10, 25]))])))
+    got = {x["doc"]: x["component"] for x in near_dedup.near_components(docs_of(spark, rows)).collect()}
+    assert got == plain_components(rows)
