@@ -9,6 +9,13 @@ from collections import Counter
 from pyspark import cloudpickle
 
 
+#: Signs a token can hold, and the share of a state's probability that signs never met there have together.
+#: Credentials of alphabets that no label shows pass through it, by many more signs than an ordinary run would need.
+TOKEN_SIGNS, ESCAPE = 68, 0.05
+#: Pairs that a first sign has beside those met, so that few met ones tell little.
+BACK_OFF = 50.0
+
+
 class Automaton:
     """States with counts of arrivals, ends and symbols. State 0 is the start."""
 
@@ -17,7 +24,7 @@ class Automaton:
         for s in strings:
             self._insert(s)
         self._merge(math.sqrt(0.5 * math.log(2 / alpha)))
-        self._number(len({c for s in strings for c in s}))
+        self._number()
 
     def _insert(self, s: str) -> None:
         at = 0
@@ -87,29 +94,31 @@ class Automaton:
                 settled.append(state)
                 known.add(state)
 
-    def _number(self, symbols: int) -> None:
-        """Keeps reachable states, with log probabilities; unseen symbols share half a count."""
+    def _number(self) -> None:
+        """Keeps reachable states, with log probabilities; a share of each state's goes evenly to all token signs."""
         order, place = [0], {0: 0}
         for x in order:
             for state, _ in self.out[x].values():
                 if state not in place:
                     place[state] = len(order)
                     order.append(state)
-        self.steps, self.unseen, self.likely = [], [], []
+        escape = ESCAPE / TOKEN_SIGNS
+        self.steps, self.likely = [], []
         for x in order:
-            total = self.arrived[x] + 0.5
-            self.steps.append({c: (place[s], math.log(n / total)) for c, (s, n) in self.out[x].items() if n})
-            self.unseen.append(math.log(0.5 / total / 64))
+            on = sum(n for _, n in self.out[x].values())
+            self.steps.append({c: (place[s], math.log((1 - ESCAPE) * n / on + escape)) for c, (s, n) in self.out[x].items() if n})
             best = max(self.out[x].values(), key=lambda e: e[1], default=(0, 0))[0]
             self.likely.append(place.get(best, 0))
+        self.unseen = math.log(escape)
         del self.arrived, self.ended, self.out
 
     def log_likelihood(self, s: str) -> float:
+        """Of the signs of ``s`` one after the other, wherever it ends."""
         at, total = 0, 0.0
         for c in s:
             step = self.steps[at].get(c)
             if step is None:
-                total += self.unseen[at]
+                total += self.unseen
                 at = self.likely[at]
             else:
                 at, p = step
@@ -118,25 +127,28 @@ class Automaton:
 
 
 class Background:
-    """Pairs of adjacent signs in ordinary candidates, each pair with half a count more.
+    """Pairs of adjacent signs in ordinary candidates; each first sign has BACK_OFF pairs more, dealt as all signs are.
 
     ``ordinary``: the candidates, or how often each pair is in them.
     """
 
     def __init__(self, ordinary: list[str] | dict[tuple[str, str], int]):
         pairs = ordinary if isinstance(ordinary, dict) else Counter(p for s in ordinary for p in zip("^" + s, s))
-        firsts: Counter = Counter()
-        for (a, _), n in pairs.items():
+        firsts, signs = Counter(), Counter()
+        for (a, b), n in pairs.items():
             firsts[a] += n
-        self.pairs = {k: math.log((n + 0.5) / (firsts[k[0]] + 34)) for k, n in pairs.items()}
-        self.rest = {a: math.log(0.5 / (n + 34)) for a, n in firsts.items()}
+            signs[b] += n
+        total = sum(signs.values()) + 0.5 * TOKEN_SIGNS
+        self.share = {b: (n + 0.5) / total for b, n in signs.items()}
+        self.unseen = 0.5 / total
+        self.firsts = firsts
+        self.pairs = {(a, b): math.log((n + BACK_OFF * self.share[b]) / (firsts[a] + BACK_OFF)) for (a, b), n in pairs.items()}
 
     def log_likelihood(self, s: str) -> float:
-        pairs, rest, plain = self.pairs, self.rest, math.log(1 / 68)
         total = 0.0
         for a, b in zip("^" + s, s):
-            p = pairs.get((a, b))
-            total += rest.get(a, plain) if p is None else p
+            p = self.pairs.get((a, b))
+            total += math.log(BACK_OFF * self.share.get(b, self.unseen) / (self.firsts[a] + BACK_OFF)) if p is None else p
         return total
 
 

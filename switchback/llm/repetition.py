@@ -3,8 +3,8 @@
 The words of a batch of texts are numbered per text, so suffixes of different
 texts never share a first word and one suffix array serves the whole batch. It
 is built by prefix doubling; a suffix that has become unique is not sorted
-again. The ranks of the doubling steps give the longest common prefix of
-neighbours. A maximal repeat is an interval of that array, and its occurrences
+again. One walk in text order gives the longest common prefixes of neighbours.
+A maximal repeat is an interval of that array, and its occurrences
 are the positions whose longer neighbour prefix reaches its length, so the
 union of all spans is the union of those prefixes.
 """
@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchback.llm.common import short_batches
+from switchback.llm.common import fresh_name, short_batches
 
 SYMBOLS = "#*$%&|<>"
 WHITE = "\t\n\x0b\x0c\r "
@@ -30,9 +30,7 @@ BATCH_WORDS = 200_000
 #: Base rules.
 MIN_WORDS, MOST_REPEATED_PERCENT, WINDOW = 50, 50, 3
 #: The verdict: repeats count from so many words on; the share of words they may cover, and the share the longest may be.
-REPEAT_WORDS, MOST_COVERED, MOST_LONGEST = 5, 0.5, 0.3
-#: Symbols a word beyond which a text is markup or noise, which repeats no words.
-MOST_SYMBOLS = 0.25
+REPEAT_WORDS, MOST_COVERED, MOST_LONGEST = 5, 0.4, 0.25
 
 STATS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -40,8 +38,8 @@ STATS = (
 )
 
 
-def prefix_ranks(symbols: np.ndarray) -> list[np.ndarray]:
-    """ranks[j][p]: equal for two positions when their next 2**j symbols are equal; the last ones are unique.
+def prefix_ranks(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two ranks of positions: equal while the next ``least`` symbols or fewer are equal (the largest power of two), and unique ones.
 
     A rank is the place of its group's first suffix among all sorted suffixes,
     so splitting a group leaves the ranks of others as they are.
@@ -50,7 +48,7 @@ def prefix_ranks(symbols: np.ndarray) -> list[np.ndarray]:
     _, inverse, counts = np.unique(symbols, return_inverse=True, return_counts=True)
     rank = (np.cumsum(counts) - counts)[inverse].astype(np.int32)
     active = np.flatnonzero(counts[inverse] > 1)
-    levels, step = [rank], 1
+    step, group = 1, rank.copy()
     while len(active):
         ahead = active + step
         second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)], -1)
@@ -63,13 +61,34 @@ def prefix_ranks(symbols: np.ndarray) -> list[np.ndarray]:
         index = np.arange(len(at))
         begin = np.maximum.accumulate(np.where(opens, index, 0))
         part = np.maximum.accumulate(np.where(splits, index, 0))
-        rank = rank.copy()
         rank[at] = head + (part - begin)
-        levels.append(rank)
         width = np.diff(np.append(np.flatnonzero(splits), len(at)))
         active = np.sort(at[np.repeat(width > 1, width)])
         step *= 2
-    return levels
+        if step <= least:
+            group = rank.copy()
+    return group, rank
+
+
+def common_prefixes(symbols: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lengths of the common prefixes of suffixes ``b`` and those sorted just before them, ``a``.
+
+    In text order a length is at most one less than the one before, so all
+    comparisons together are linear in the text.
+    """
+    signs, n = symbols.tolist(), len(symbols)
+    order = np.argsort(b)
+    out, last, length = [], -2, 0
+    for p, q in zip(b[order].tolist(), a[order].tolist()):
+        length = length - 1 if p == last + 1 and length else 0
+        top = n - max(p, q)
+        while length < top and signs[p + length] == signs[q + length]:
+            length += 1
+        out.append(length)
+        last = p
+    lengths = np.empty(len(b), np.int64)
+    lengths[order] = out
+    return lengths
 
 
 def longest_repeats(symbols: np.ndarray, least: int) -> np.ndarray:
@@ -81,23 +100,15 @@ def longest_repeats(symbols: np.ndarray, least: int) -> np.ndarray:
     out = np.zeros(n, np.int64)
     if n < 2:
         return out
-    levels = prefix_ranks(symbols)
-    known = min(len(levels) - 1, least.bit_length() - 1)
-    group = levels[known]
+    group, rank = prefix_ranks(symbols, least)
     members = np.flatnonzero(np.bincount(group, minlength=n)[group] > 1)
     if not len(members):
         return out
-    members = members[np.argsort(levels[-1][members], kind="stable")]
+    members = members[np.argsort(rank[members], kind="stable")]
     a, b = members[:-1], members[1:]
     together = group[a] == group[b]
     a, b = a[together], b[together]
-    shared = np.zeros(len(a), np.int64)
-    for j in range(len(levels) - 1, -1, -1):
-        x, y = a + shared, b + shared
-        inside = np.maximum(x, y) < n
-        x, y = np.minimum(x, n - 1), np.minimum(y, n - 1)
-        # the end of the last text sorts before everything, so equal ranks are equal prefixes
-        shared += np.where(inside & (levels[j][x] == levels[j][y]), 1 << j, 0)
+    shared = common_prefixes(symbols, a, b)
     shared[shared < least] = 0
     np.maximum.at(out, a, shared)
     np.maximum.at(out, b, shared)
@@ -157,23 +168,25 @@ def _stats(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(text_stats([t or "" for t in batch]), columns=names, dtype="int64")
 
 
-def quality(
-    docs: DataFrame, most_covered: float = MOST_COVERED, most_longest: float = MOST_LONGEST,
-    most_symbols: float = MOST_SYMBOLS, out: str = "quality",
-) -> DataFrame:
+def quality(docs: DataFrame, most_covered: float = MOST_COVERED, most_longest: float = MOST_LONGEST, out: str = "quality") -> DataFrame:
     """Every row of ``docs`` with a struct ``quality``: the counts of STATS, ``base_failed`` and ``kept``.
 
-    Null and empty texts have no words and fail. Rows and other columns stay; a
-    column of the struct's name is replaced; every text is judged by itself, so
-    repeated rows get equal verdicts and no shuffle is needed.
+    A text that passes the base rules is kept unless its repeats of REPEAT_WORDS
+    words or more cover over ``most_covered`` of it, or the longest one is over
+    ``most_longest`` of it. Null and empty texts have no words and fail. A text
+    of any length a row can hold is judged whole; its suffixes take memory of a
+    small multiple of its words. Rows and other columns stay; a column of the
+    struct's name is replaced; every text is judged by itself, so repeated rows
+    get equal verdicts and no shuffle is needed.
     """
-    s = F.col("__stats")
+    made = fresh_name(docs, "made", out)
+    s = F.col(made)
     n = s["n_words"]
     failed = (n < MIN_WORDS) | (100 * s["n_repeat_words"] > MOST_REPEATED_PERCENT * n)
-    good = (s["n_covered"] <= most_covered * n) & (s["longest_repeat"] <= most_longest * n) & (s["n_symbols"] <= most_symbols * n)
+    good = (s["n_covered"] <= most_covered * n) & (s["longest_repeat"] <= most_longest * n)
     fields = [s[c.split()[0]].alias(c.split()[0]) for c in STATS.split(", ")]
     struct = F.struct(*fields, failed.alias("base_failed"), (~failed & good).alias("kept"))
-    return short_batches(docs).withColumn("__stats", F.pandas_udf(_stats, STATS)(F.col("text"))).withColumn(out, struct).drop("__stats")
+    return short_batches(docs).withColumn(made, F.pandas_udf(_stats, STATS)(F.col("text"))).withColumn(out, struct).drop(made)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,11 +3,14 @@
 The matches of the fixed patterns in the corpus are the labelled credentials. A
 prefix tree of each kind is merged into a probabilistic automaton, and every
 long run of token signs anywhere is scored by the likelihood of its format
-against that of ordinary runs, whose pairs of signs are counted over all documents.
+against that of ordinary runs, those that recur, whose pairs of signs are counted
+over all documents.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 import re
 import sys
 from collections import Counter
@@ -15,11 +18,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchback.llm.automata import Automaton, Background
 from switchback.llm.common import short_batches
+from switchback.session import cut_lineage
 
 #: What a base match is. Letters of names match in either case.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -30,14 +34,18 @@ KINDS = ("assign", "access", "hex", "format")
 #: What is scored: runs of token signs.
 CANDIDATE = r"[A-Za-z0-9+/_-]{12,}={0,2}"
 
-#: Distinct credentials of a kind that its automaton is fitted on, and the longest of them; everything is scored.
-SAMPLE, SAMPLE_CHARS = 1500, 256
-#: Ranks up to this are cut in each task before the shuffle.
-RANK_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-#: A candidate is a secret if it is this many nats likelier as a credential than as an ordinary run,
-#: and by sign at most SLACK nats less likely than all but this share of the labelled credentials.
-LEAST_NATS, LEAST_QUANTILE, SLACK = 12.0, 0.02, 0.3
-MEMO = 200_000
+#: A candidate is what base spans leave of such a run, of so many signs or more.
+LEAST_CANDIDATE = 12
+#: About so many distinct credentials of a kind are fitted on, those of smallest hash; longer ones are cut in pieces of PIECE signs,
+#: each a credential of its own. Everything is scored.
+SAMPLE, PIECE = 1500, 256
+#: A candidate is a secret if its likelihood as a credential against that as an ordinary run is beyond what this share of
+#: ordinary runs reach.
+FALSE_POSITIVES = 0.001
+#: Scores of ordinary runs are counted in steps of this many nats.
+STEP = 0.5
+#: Remembered signs of all candidates; a full memo is emptied.
+MEMO_SIGNS = 4_000_000
 
 _ASSIGN = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(ACCESS)
@@ -52,85 +60,104 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", *m.span()) for m in _HEX.finditer(text)]
 
 
+def pieces(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of the candidates: runs of token signs without what ``spans`` cover."""
+    out, taken, k = [], sorted((s, e) for _, s, e in spans), 0
+    for m in _CANDIDATE.finditer(text):
+        start, stop = m.span()
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        for s, e in itertools.takewhile(lambda t: t[0] < stop, itertools.islice(taken, k, None)):
+            if s - start >= LEAST_CANDIDATE:
+                out.append((start, s))
+            start = max(start, e)
+        if stop - start >= LEAST_CANDIDATE:
+            out.append((start, stop))
+    return out
+
+
 class Formats:
-    """Automata of the labelled kinds against the background, fitted on ``ordinary`` runs or their counted pairs."""
-
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str] | dict[tuple[str, str], int]):
-        self.background = Background(ordinary)
-        self.models = []
-        for kind in KINDS:
-            strings = labelled.get(kind, [])
-            if strings:
-                model = Automaton(strings)
-                scores = sorted(model.log_likelihood(s) / len(s) for s in strings)
-                self.models.append((model, scores[int(len(scores) * LEAST_QUANTILE)] - SLACK))
+    """Automata of the labelled kinds against the background of ordinary runs, of counted ``pairs`` of signs.
+
+    ``least_nats`` is what a candidate's score has to reach; it is part of the
+    model, so that workers decide as the driver does.
+    """
+
+    def __init__(self, labelled: dict[str, list[str]], pairs: dict[tuple[str, str], int] | list[str], least_nats: float = 0.0):
+        self.background, self.least_nats = Background(pairs), least_nats
+        self.models = [Automaton(labelled[kind]) for kind in KINDS if labelled.get(kind)]
+
+    def score(self, s: str) -> float:
+        """How many nats likelier ``s`` is as the likeliest credential than as an ordinary run."""
+        return max(m.log_likelihood(s) for m in self.models) - self.background.log_likelihood(s)
 
     def is_secret(self, s: str) -> bool:
-        ordinary = self.background.log_likelihood(s)
-        for model, least in self.models:
-            likely = model.log_likelihood(s)
-            if likely >= least * len(s) and likely - ordinary >= LEAST_NATS:
-                return True
-        return False
+        return self.score(s) > self.least_nats
 
 
 class Scanner:
     def __init__(self, formats: Formats | None):
-        self.formats, self.memo = formats, {}
+        self.formats, self.memo, self.signs = formats, {}, 0
 
     def _secret(self, s: str) -> bool:
         known = self.memo.get(s)
         if known is None:
-            if len(self.memo) > MEMO:
+            if self.signs > MEMO_SIGNS:
                 self.memo.clear()
-            known = self.formats.is_secret(s)
-            if len(s) <= 64:
-                self.memo[s] = known
+                self.signs = 0
+            known = self.memo[s] = self.formats.is_secret(s)
+            self.signs += len(s)
         return known
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """Base spans and the candidates beside them that score as secrets, by start and kind."""
         found = base_spans(text)
         if self.formats and self.formats.models:
-            taken = sorted((s, e) for _, s, e in found)
-            for m in _CANDIDATE.finditer(text):
-                start, end = m.span()
-                if not any(s < end and start < e for s, e in taken) and self._secret(m[0]):
-                    found.append(("format", start, end))
+            found += [("format", s, e) for s, e in pieces(text, found) if self._secret(text[s:e])]
         return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
 def labelled_strings(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``kind, value``: for each kind the ``sample`` distinct base matches of smallest hash.
+    """``kind, value``: of each kind about ``sample`` distinct base matches, by hash; long ones in pieces.
 
-    All documents are searched; equal strings are counted once before they are ranked.
+    All documents are searched and all distinct pieces counted; those are taken
+    whose hash lies in the first ``sample`` parts of so many of its range.
     """
-    conf = docs.sparkSession.conf
-    if int(conf.get(RANK_LIMIT)) < sample:
-        conf.set(RANK_LIMIT, str(sample))
     text = F.coalesce("text", F.lit(""))
-    of = lambda kind, found: F.transform(found, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+    cut = lambda v: F.transform(F.sequence(F.lit(0), F.floor((F.char_length(v) - 1) / PIECE).cast("int")), lambda i: F.substring(v, i * PIECE + 1, F.lit(PIECE)))
+    of = lambda kind, found: F.transform(
+        F.flatten(F.transform(F.filter(found, lambda v: F.char_length(v) >= LEAST[kind]), cut)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
+    )
     both = F.concat(
         of("assign", F.regexp_extract_all(text, F.lit("(?i)" + ASSIGN), F.lit(2))),
         of("access", F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0))),
         of("hex", F.regexp_extract_all(text, F.lit(_HEX.pattern), F.lit(0))),
     )
-    least = F.element_at(F.create_map(*[F.lit(x) for k, n in LEAST.items() for x in (k, n)]), F.col("kind"))
-    rows = docs.select(F.explode(both).alias("x")).select("x.*").filter(
-        (F.char_length("value") >= least) & (F.char_length("value") <= SAMPLE_CHARS)
-    )
-    ranked = rows.distinct().withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")))
-    return ranked.filter(F.col("rank") <= sample).select("kind", "value")
+    distinct = cut_lineage(docs.select(F.explode(both).alias("x")).select("x.*").distinct())
+    counts = distinct.groupBy("kind").agg(F.count("*").alias("n"))  # a row a kind
+    share = F.pmod(F.xxhash64("value"), F.lit(1_000_000)) / 1e6
+    return distinct.join(F.broadcast(counts), "kind").filter(share * F.col("n") < sample).select("kind", "value")
 
 
-def ordinary_pairs(docs: DataFrame) -> DataFrame:
-    """``a, b, n``: how often sign ``b`` follows ``a`` in the distinct ordinary runs of all documents, ``^`` before the first sign.
+def ordinary_runs(docs: DataFrame) -> DataFrame:
+    """``value, n``: the candidates of all documents and how often each occurs. Base matches are cut out of them."""
 
-    Runs of any length count. There are at most as many rows as pairs of token signs, whatever the size of ``docs``.
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: Counter = Counter()
+            for text in batch["text"]:
+                found.update(text[s:e] for s, e in pieces(text, base_spans(text)))
+            yield pd.DataFrame({"value": list(found), "n": list(found.values())})
+
+    texts = short_batches(docs).select(F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInPandas(find, "value string, n long").groupBy("value").agg(F.sum("n").alias("n"))
+
+
+def ordinary_pairs(runs: DataFrame) -> DataFrame:
+    """``a, b, n``: how often sign ``b`` follows ``a`` in the distinct ``runs``, ``^`` before the first sign.
+
+    At most as many rows as pairs of token signs, whatever the size of ``runs``.
     """
-    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(CANDIDATE), F.lit(0))
-    plain = ~F.col("value").rlike(rf"^(?:{_HEX.pattern}|{ACCESS})$")  # ordinary runs are not matches themselves
-    runs = docs.select(F.explode(found).alias("value")).filter(plain).distinct()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs: Counter = Counter()
@@ -139,27 +166,59 @@ def ordinary_pairs(docs: DataFrame) -> DataFrame:
                 pairs.update(zip("^" + s, s))
         yield pd.DataFrame([(a, b, n) for (a, b), n in pairs.items()], columns=["a", "b", "n"])
 
-    return runs.mapInPandas(count, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return runs.select("value").mapInPandas(count, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
 
+def learn(docs: DataFrame, sample: int = SAMPLE, false_positives: float = FALSE_POSITIVES) -> Formats:
+    """Fits the automata on the driver, on about ``sample`` credentials of a kind, the pairs of ordinary runs and their scores.
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
-    """Fits the automata on the driver, on at most ``sample`` credentials of a kind and the pairs of all ordinary runs."""
+    Ordinary are all runs that occur more than once in the corpus: words recur,
+    unlabelled credentials as a rule do not. The score a secret has to pass is
+    the smallest that at most ``false_positives`` of ordinary runs, counted as
+    often as they occur, are beyond, and at least the one that outweighs such odds against it. Without credentials
+    there are no automata and only base spans are found.
+    """
     strings: dict[str, list[str]] = {}
     for row in sorted(labelled_strings(docs, sample).collect()):
         strings.setdefault(row["kind"], []).append(row["value"])
-    return Formats(strings, {(r["a"], r["b"]): r["n"] for r in ordinary_pairs(docs).collect()})
+    runs = cut_lineage(ordinary_runs(docs).filter("n > 1"))
+    formats = Formats(strings, {(r["a"], r["b"]): r["n"] for r in ordinary_pairs(runs).collect()})
+    if not formats.models:
+        return formats
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(formats))
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fitted = cloudpickle.loads(shared.value)
+        for batch in batches:
+            steps: Counter = Counter()
+            for s, n in zip(batch["value"], batch["n"]):
+                score = fitted.score(s)
+                steps[max(0, math.ceil(score / STEP))] += n
+            yield pd.DataFrame({"step": list(steps), "n": list(steps.values())})
+
+    counted = {r["step"]: r["n"] for r in runs.mapInPandas(scores, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()}
+    allowed, beyond = false_positives * sum(counted.values()), 0
+    least = -math.log(false_positives)
+    for step in sorted(counted, reverse=True):
+        beyond += counted[step]
+        if beyond > allowed:
+            least = max(least, step * STEP)
+            break
+    formats.least_nats = least
+    return formats
 
 
 def scan(docs: DataFrame, formats: Formats | None, spans: str = "spans") -> DataFrame:
     """Every row of ``docs`` with ``spans``, array<struct<kind, start, end>> in code points, end exclusive.
 
-    Null and empty texts have none. A column of that name is replaced; without
-    ``formats`` only base spans are found. Each text is scanned whole, no shuffle.
+    Null and empty texts have none. A column of that name is replaced, all
+    others stay; repeated rows get equal spans. Without ``formats`` only base
+    spans are found. Each text is scanned whole, however long, no shuffle.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(formats)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(formats))  # by value, with its thresholds
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scanner = Scanner(shared.value)
+        scanner = Scanner(cloudpickle.loads(shared.value))
         for batch in batches:
             yield pd.Series([[{"kind": k, "start": s, "end": e} for k, s, e in scanner.spans(t or "")] for t in batch], dtype=object)
 

@@ -1,9 +1,12 @@
 """Document fingerprints by closed syncmers, in Spark expressions only.
 
-A text is a sequence of units: runs of at most six letters and digits, and
-single other signs; in a short text, single code points. A k-mer of units is an anchor when the least hash among its
-s-mers is at one of its edges. Whether a k-mer is an anchor depends on nothing
-around it, so what two texts share keeps its anchors in both.
+A text of any length is a sequence of units: a run of Latin letters ends behind
+its first ``a``, ``e`` or ``o``, every other sign but white space is a unit. Where
+a unit ends depends on its own signs only, also within a long run, so an
+insertion changes the units it lies in and no others. A k-mer of units is an
+anchor when the least hash among its s-mers is at one of its edges. Whether a
+k-mer is an anchor depends on nothing around it, so what two texts share keeps
+its anchors in both.
 """
 
 from __future__ import annotations
@@ -11,12 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from switchback.llm.common import landed_small, order_id
+from switchback.llm.common import fresh_name, landed_small, order_id
 
-UNIT = r"[\p{L}\p{M}\p{N}]{1,6}|[^\s\p{L}\p{M}\p{N}]"
+UNIT = r"[\p{IsLatin}&&[^aeoAEO]]+[aeoAEO]?|\S"
 K, S = 6, 2
-#: Texts of up to so many code points are sequences of code points instead; words are too few there.
-SHORT = 200
 
 
 def _tail(x: Column, skip: int) -> Column:
@@ -31,13 +32,14 @@ def with_anchors(df: DataFrame, text: str, at: str, hashes: str, k: int = K, s:
     """Adds the anchors of column ``text``: unit positions ``at`` array<int> and ``hashes`` array<int>.
 
     ``s`` divides ``k``. A text without an anchor, such as one of fewer than
-    ``k`` units, is one anchor as a whole; one without units (null, empty) has none. Rows and other columns stay; no shuffle.
+    ``k`` units, is one anchor as a whole; one without units (null, empty,
+    white space) has none. Rows and other columns stay; no shuffle. The arrays
+    of a text lie in its row, so a text may be as long as a row can hold.
     """
-    units, smers = "__units", "__smers"
+    units, smers = fresh_name(df, "units", text, at, hashes), fresh_name(df, "smers", text, at, hashes)
     inner = k - s + 1
     whole_text = F.coalesce(F.col(text), F.lit(""))
-    cut = F.when(F.char_length(whole_text) <= SHORT, F.regexp_extract_all(whole_text, F.lit("(?s)."), F.lit(0)))
-    cut = cut.otherwise(F.regexp_extract_all(whole_text, F.lit(UNIT), F.lit(0)))
+    cut = F.regexp_extract_all(whole_text, F.lit(UNIT), F.lit(0))
     df = df.withColumn(units, F.transform(cut, lambda u: F.xxhash64(u)))
     x = F.col(units)
     for j in range(1, s):

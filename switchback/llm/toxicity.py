@@ -21,11 +21,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchback.llm.common import held_out, short_batches
+from switchback.session import cut_lineage
 
-#: Labelled texts that lexicon and weights are learned on, those of smallest hash; shares of labels stay as they are.
-SAMPLE = 15_000
-#: A term is held by so many toxic texts, and this share of its texts is toxic by the lower bound of a 95 % interval.
+#: Labelled texts of each label that lexicon and weights are learned on, those of smallest hash. Shares of terms and the
+#: score's constant are corrected by how many of each label there are in all.
+SAMPLE = 7500
+#: A term is held by so many toxic texts, and by this many times the share of toxic texts as of clean ones, by the lower bound
+#: of a 95 % interval in the sample. A rare label asks for more: LEAST_SHARE of all its texts are toxic.
 LEAST_TEXTS, LEAST_SHARE = 8, 0.5
+#: Texts with a term the sample may hold by chance; a term of no clean text there counts as in half a one.
+CHANCE = 0.5
 STEM_CHARS = (4, 12)
 WORD = r"[\p{L}\p{N}]+"
 SIGNS = "*@$"
@@ -40,7 +45,7 @@ RARE_WEIGHT = 4.0
 ORDINARY_TEXTS = 3
 #: Evidence beyond which a text is no more toxic.
 MOST = 8.0
-MEMO = 300_000
+MEMO, MEMO_CHARS = 300_000, 40
 
 #: Signs and words that mark quotation near a hit, and words that address someone.
 QUOTES = "\"“”„«»‘’"
@@ -159,9 +164,11 @@ class _Hits(dict):
         self.find = find
 
     def __missing__(self, word: str):
-        if len(self) > MEMO:
-            self.clear()
-        found = self[word] = self.find(word)
+        found = self.find(word)
+        if len(word) <= MEMO_CHARS:  # so the memo's bytes have a bound too
+            if len(self) > MEMO:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -207,39 +214,47 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``text, toxic`` of at most ``sample`` labelled rows outside the held-out fold."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, dict[int, int]]:
+    """``text, toxic`` of at most ``sample`` rows of each label outside the held-out fold, landed, and how many of each there are in all."""
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    first = lambda label: known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = F.broadcast(first(0).unionByName(first(1)))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return cut_lineage(texts.join(chosen, "doc_id").select("text", "toxic")), totals
 
 
-def learn_terms(labelled: DataFrame) -> list[tuple[str, bool, float]]:
+def term_counts(labelled: DataFrame) -> DataFrame:
+    """``term, a, b``: how many toxic and clean texts of the sample hold a word; landed."""
+    words = labelled.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    return cut_lineage(words.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")))
+
+
+def learn_terms(counted: DataFrame, sampled: dict[int, int], totals: dict[int, int]) -> list[tuple[str, bool, float]]:
     """Words and beginnings of words that tell toxic texts, with how far each rules out a clean text as its weight.
 
-    A term is left out if a shorter beginning of it tells as much. Words of
-    RARE_WEIGHT stay, since beginnings are allowed fewer edits or none.
+    ``counted`` are counts in a sample; a clean text of it stands for
+    ``totals[0] / sampled[0]`` of all, a toxic one likewise. A term is left out if
+    a shorter beginning of it tells as much. Words of RARE_WEIGHT stay, since
+    beginnings are allowed fewer edits or none.
     """
-    totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    bad, good = totals.get(1, 0), totals.get(0, 0)
-    if not bad or not good:
+    if not sampled.get(0) or not sampled.get(1):
         return []
-    words = labelled.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    counted = words.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    up = {k: totals[k] / sampled[k] for k in (0, 1)}
     least, most = STEM_CHARS
     stems = counted.filter(F.char_length("term") > least).select(
         F.explode(F.transform(F.sequence(F.lit(least), F.least(F.char_length("term") - 1, F.lit(most))), lambda n: F.substring("term", F.lit(1), n))).alias("term"),
         "a", "b",
     ).groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("*").alias("words")).filter("words >= 3").drop("words")
     both = counted.withColumn("stem", F.lit(False)).unionByName(stems.withColumn("stem", F.lit(True)))
-    b = F.col("b")
-    n = F.col("a") + b
-    share = F.col("a") / n
+    # shares in a sample of the labels' true shares, of as many texts as were seen
+    a, b = F.col("a") * up[1], F.col("b") * up[0]
+    share, n = a / (a + b), F.col("a") + F.col("b")
     low = (share + 1.92 / n - 1.96 * F.sqrt(share * (1 - share) / n + 0.9604 / (n * n))) / (1 + 3.84 / n)
-    weight = F.log((n + 1) / (b + 0.5))  # minus the log of how often the term stands in other texts
-    rows = both.filter((F.col("a") >= LEAST_TEXTS) & (F.col("a") > F.col("b")) & (low >= LEAST_SHARE)).select(
-        "term", "stem", low.alias("low"), weight.alias("weight")
-    ).collect()
+    # of the texts of a label, how many hold the term: toxic ones against clean ones, none seen counted as CHANCE
+    weight = F.log((a + b + up[1]) / (b + CHANCE * up[0]))
+    enough = (F.col("a") >= LEAST_TEXTS) & (F.col("a") * sampled[0] > F.col("b") * sampled[1])
+    rows = both.filter(enough & (low >= LEAST_SHARE)).select("term", "stem", low.alias("low"), weight.alias("weight")).collect()
     kept: dict[str, float] = {}
     out = []
     for r in sorted(rows, key=lambda r: (not r["stem"], len(r["term"]), r["term"])):
@@ -247,16 +262,13 @@ def learn_terms(labelled: DataFrame) -> list[tuple[str, bool, float]]:
         if shorter is None or r["low"] > shorter + 0.05 or not r["stem"] and r["weight"] >= RARE_WEIGHT:
             if r["stem"]:
                 kept[r["term"]] = r["low"]
-            out.append((r["term"], r["stem"], float(r["weight"])))
+            out.append((r["term"], r["stem"], max(0.1, float(r["weight"]))))
     return out
 
 
-def ordinary_words(labelled: DataFrame, terms: list[tuple[str, bool, float]]) -> list[tuple[str, bool, float]]:
+def ordinary_words(counted: DataFrame, sampled: dict[int, int], terms: list[tuple[str, bool, float]]) -> list[tuple[str, bool, float]]:
     """Words of clean labelled texts that would be read as misspellings, as terms of weight 0."""
-    totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    words = labelled.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    counted = words.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    common = counted.filter((F.col("b") >= ORDINARY_TEXTS) & (F.col("a") * totals[0] <= F.col("b") * totals[1])).select("term")
+    common = counted.filter((F.col("b") >= ORDINARY_TEXTS) & (F.col("a") * sampled[0] <= F.col("b") * sampled[1])).select("term")
     find = reader(terms)
     return sorted((r["term"], False, 0.0) for r in common.collect() if (hit := find(r["term"])) and hit[1])
 
@@ -275,15 +287,22 @@ def fit_weights(features: np.ndarray, toxic: np.ndarray, rounds: int = 30, ridge
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[str, bool, float]], list[float]]:
-    """Terms and weights. Without both labels there are no terms and every text scores 0.5 or below."""
-    labelled = labelled_sample(docs, labels, sample)
-    terms = learn_terms(labelled)
+    """Terms and weights, with one scan of ``docs``. Without both labels there are no terms and every text scores 0.5 or below.
+
+    What a misspelled and a quoted hit count is fixed, not learned.
+    """
+    labelled, totals = labelled_sample(docs, labels, sample)
+    sampled = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    counted = term_counts(labelled)
+    terms = learn_terms(counted, sampled, totals)
     if not terms:
         return [], [-2.0, 0.0, 0.0]
-    terms += ordinary_words(labelled, terms)
+    terms += ordinary_words(counted, sampled, terms)
     made = labelled.select("toxic", F.pandas_udf(_features(docs, terms), "array<double>")("text").alias("x")).collect()
     weights = fit_weights(np.array([r["x"] for r in made]), np.array([r["toxic"] for r in made], float))
-    return terms, [weights[0], *(max(0.0, w) for w in weights[1:])]  # a hit never speaks against toxicity
+    # the sample shows labels in other shares than they have; only the constant depends on that
+    constant = weights[0] + math.log(totals[1] / sampled[1]) - math.log(totals[0] / sampled[0])
+    return terms, [constant, *(max(0.0, w) for w in weights[1:])]  # a hit never speaks against toxicity
 
 
 def _features(df: DataFrame, terms: list):
@@ -300,7 +319,9 @@ def _features(df: DataFrame, terms: list):
 def score(docs: DataFrame, model: tuple[list, list[float]], out: str = "score") -> DataFrame:
     """Every row of ``docs`` with ``score``, 0 to 1, from the whole text alone; null texts are empty.
 
-    A column of that name is replaced; rows stay as they are, no shuffle.
+    A column of that name is replaced; rows stay as they are, repeated ones
+    with equal scores, no shuffle. A text of any length a row can hold is read
+    whole, word by word.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import struct
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from switchback.llm import bpe, chat, line_dedup, repetition, syncmers
@@ -89,17 +91,58 @@ def test_rules_keep_clean_texts_and_reject_repeats(spark):
     clean = " ".join(f"w{r.randint(0, 5000)}" for _ in range(300))
     passage = " ".join(f"p{i}" for i in range(40))
     texts = [(1, clean), (2, "spam " * 400), (3, None), (4, ""), (5, passage + " " + clean[:200] + " " + passage), (6, "| a " * 10 + clean), (7, "x#" * 200 + clean)]
+    table = "\n".join(f"| row{i} | {r.randint(0, 10**6)} | {r.randint(0, 10**6)} |" for i in range(60))  # symbols alone reject nothing
+    texts += [(8, table), (9, clean[:600] + " " + clean[:600])]
     out = {x["doc_id"]: x["quality"] for x in repetition.quality(docs_of(spark, texts)).collect()}
-    assert {k for k, v in out.items() if v["kept"]} == {1, 6} and out[3]["base_failed"] and out[5]["longest_repeat"] == 40
+    assert {k for k, v in out.items() if v["kept"]} == {1, 6, 7, 8} and out[3]["base_failed"] and out[5]["longest_repeat"] == 40
     assert out[2]["n_repeat_words"] == 400 and out[7]["n_symbols"] == 200
     assert repetition.quality(docs_of(spark, [])).count() == 0
 
 
-def plain_anchors(text, k=syncmers.K, s=syncmers.S):
-    """Positions of closed syncmers over any order of units; checked by what they are, not by hash values."""
+def plain_units(text):
     import regex
 
-    return list(text) if len(text) <= syncmers.SHORT else regex.findall(syncmers.UNIT, text)
+    return regex.findall(r"(?V1)[\p{Latin}--[aeoAEO]]+[aeoAEO]?|[^\x20\x09-\x0D]", text)
+
+
+def plain_anchors(text, k=syncmers.K, s=syncmers.S):
+    """Places of the k-mers whose least s-mer hash is at an edge, by the same hashes in plain Python."""
+    h = [xxhash.xxh64_intdigest(u.encode(), 42) for u in plain_units(text)]
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    smers = []
+    for i in range(len(h) - s + 1):
+        x = h[i]
+        for j in range(1, s):
+            x = xxhash.xxh64_intdigest(struct.pack("<Q", h[i + j]), xxhash.xxh64_intdigest(struct.pack("<Q", x), 42))
+        smers.append(signed(x))
+    out = []
+    for i in range(len(h) - k + 1):
+        inner = smers[i : i + k - s + 1]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append(i)
+    return out or ([0] if h else [])
+
+
+def test_anchors_equal_plain_version(spark):
+    r = random.Random(17)
+    texts = [(i, "".join(r.choice("abcdefgot  AEz9.漢é\n") for _ in range(r.randint(0, 120)))) for i in range(60)] + [(90, None), (91, " \n"), (92, "xyz" * 50_000)]
+    for x in syncmers.with_anchors(docs_of(spark, texts), "text", "at", "anchors").collect():
+        assert x["at"] == plain_anchors(x["text"] or ""), x["text"]
+        assert len(x["anchors"]) == len(x["at"])
+
+
+def test_likeness_after_small_changes(spark):
+    r = random.Random(18)
+    latin, han = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(600)), "".join(chr(r.randint(0x4E00, 0x5FFF)) for _ in range(600))
+    words = " ".join("".join(r.choice("abcdefghijklmnoprstu") for _ in range(r.randint(2, 9))) for _ in range(60))
+    pairs = [(latin, latin[:10] + "q" + latin[10:]), (han, han[:10] + "界" + han[10:]), (words[:199], words[:203]), (words, words), ("", None), (words, han)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    both = syncmers.with_anchors(syncmers.with_anchors(df, "a", "at_a", "x"), "b", "at_b", "y")
+    rows = {r["i"]: r for r in both.withColumn("near", syncmers.likeness(F.col("x"), F.col("y"))).collect()}
+    for x in rows.values():
+        a, b = set(x["x"]), set(x["y"])
+        assert x["near"] == (len(a & b) / len(a | b) if a | b else 1.0)
+    assert [rows[i]["near"] > 0.7 for i in range(6)] == [True] * 5 + [False] and rows[3]["near"] == rows[4]["near"] == 1.0
 
 
 def test_anchors_are_context_free_and_equal_for_equal_texts(spark):
@@ -110,10 +153,10 @@ def test_anchors_are_context_free_and_equal_for_equal_texts(spark):
     out = {x["doc_id"]: x for x in syncmers.with_anchors(docs_of(spark, texts), "text", "at", "anchors").collect()}
     assert out[1]["anchors"] == out[4]["anchors"] and out[5]["anchors"] == [] and len(out[6]["anchors"]) == 1
     assert set(out[1]["anchors"]) <= set(out[2]["anchors"]) and set(out[1]["anchors"]) <= set(out[3]["anchors"])
-    shift = len(plain_anchors(head + body)) - len(plain_anchors(body))
+    shift = len(plain_units(head + body)) - len(plain_units(body))
     moved = [(a, h) for a, h in zip(out[2]["at"], out[2]["anchors"]) if a >= shift]
     assert [(a - shift, h) for a, h in moved] == list(zip(out[1]["at"], out[1]["anchors"]))
-    units = len(plain_anchors(body))
+    units = len(plain_units(body))
     assert 0.3 < len(out[1]["at"]) / units < 0.5  # two of five places
 
 
