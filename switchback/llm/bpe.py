@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchback.llm.common import short_batches
+from switchback.llm.common import fresh_name, short_batches
 
 #: Entries kept in a task's memo; a full memo is emptied, which changes no result.
 MEMO = 250_000
@@ -260,8 +260,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         return packed, encoder.decode(packed)
 
     udf = _with_encoder(docs, path, pattern, both, "ids binary, decoded binary")
-    made = docs.withColumn("__both", udf(F.col("text")))
-    return made.withColumns({"ids": F.col("__both.ids"), "decoded": F.col("__both.decoded")}).drop("__both")
+    made = fresh_name(docs, "made", "ids", "decoded")
+    both_of = docs.withColumn(made, udf(F.col("text")))
+    return both_of.withColumns({"ids": F.col(f"{made}.ids"), "decoded": F.col(f"{made}.decoded")}).drop(made)
 
 
 def apply_edits(encoded: DataFrame, edits: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -31,6 +31,15 @@ def fresh_name(df: DataFrame, name: str, *more: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns called like one of ``names`` under other names, and how to name them back."""
+    aside: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in names:
+            aside[c] = fresh_name(df, f"{c}_own", *names, *aside.values())
+    return df.withColumnsRenamed(aside), {new: old for old, new in aside.items()}
+
+
 def order_id(doc_id: Column) -> Column:
     """A doc_id to sort by; rows without one come last and count as one document."""
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))

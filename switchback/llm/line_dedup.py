@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from switchback.llm.common import WHITE, ascii_lower, order_id
+from switchback.llm.common import WHITE, ascii_lower, order_id, set_aside
 
 
 def split_lines(text: Column) -> Column:
@@ -56,8 +56,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10, salts: int = 64) -> DataF
 def drop_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Every row of ``docs`` with its columns plus ``kept_text``, ``n_lines`` and ``n_dropped``.
 
-    Own columns of those names are replaced.
+    Own columns of those names are replaced, all others stay.
     """
+    docs, back = set_aside(docs, "__doc", "__content", "__dropped", "__lines")
     marked = docs.select(*[c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]).withColumns(
         {"__doc": order_id(F.col("doc_id")), "__content": F.xxhash64("text")}
     )
@@ -76,7 +77,7 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         "kept_text": F.when(F.col("__dropped").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")),
         "n_lines": F.size(lines).cast("long"),
         "n_dropped": F.coalesce(F.aggregate(dropped, F.lit(0), lambda a, r: a + r["length"]), F.lit(0)).cast("long"),
-    }).drop("__doc", "__content", "__dropped", "__lines")
+    }).drop("__doc", "__content", "__dropped", "__lines").withColumnsRenamed(back)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, salts: int = 64) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from switchback.llm.common import WORD, landed_small
+from switchback.llm.common import WORD, landed_small, set_aside
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -73,6 +73,8 @@ def with_copies(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = W
 
 
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
-    """The mix itself: each document as often as it is taken, columns of ``docs``."""
-    taken = with_copies(docs, seed, weights, most).filter(F.col("__copies") > 0)
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """The mix itself: each document as often as it is taken, columns of ``docs`` whatever their names."""
+    own, back = set_aside(docs, "__size", "__source_size", "__target", "__copies", "__s", "__rate", "__copy")
+    taken = with_copies(own, seed, weights, most).filter(F.col("__copies") > 0)
+    taken = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return taken.select(*own.columns).withColumnsRenamed(back)

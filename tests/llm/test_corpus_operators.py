@@ -1,16 +1,20 @@
 """Near-dedup, mixing, resharding, secret scans, toxicity and the pipeline against plain versions, with odd inputs."""
 
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from switchback.llm import automata, components, mixing, near_dedup, queries, repetition, resharding, secret_scan, toxicity
+from switchback.llm import automata, bpe, components, line_dedup, mixing, near_dedup, queries, repetition, resharding, secret_scan, toxicity
 from tests.llm.test_text_operators import docs_of, plain_line_dedup
 
 
@@ -437,3 +441,36 @@ def test_rare_labels_teach_their_terms(spark):
     out = toxicity.score(docs, (learned, weights)).collect()
     assert sum(x["score"] >= 0.5 for x in out if x["doc_id"] in toxic) >= 98
     assert sum(x["score"] >= 0.5 for x in out if x["doc_id"] not in toxic) <= 5
+
+
+def test_columns_named_like_temporary_ones_stay(spark):
+    names = ["__stats", "made", "__size", "__source_size", "__target", "__copies", "__s", "__rate", "__copy", "__both", "__doc", "__content", "__dropped", "__lines", "own", "__quality", "verdict"]
+    docs = spark.createDataFrame([(1, "a text of some words, long enough", "s")], "doc_id long, text string, source string")
+    docs = docs.withColumns({n: F.lit(f"mine {n}") for n in names})
+    mine = {n: f"mine {n}" for n in names}
+    made = [
+        repetition.quality(docs), mixing.mix(docs), line_dedup.dedup_lines(docs), near_dedup.keep_first(docs),
+        bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
+        secret_scan.scan(docs, None), toxicity.score(docs, ([], [-2.0, 0.0, 0.0])),
+    ]
+    for df in made:
+        row = df.first().asDict()
+        assert {n: row[n] for n in names} == mine
+
+
+def test_empty_tables(spark):
+    docs, labels = docs_of(spark, []), spark.createDataFrame([], "doc_id long, toxic int")
+    assert secret_scan.scan(docs, secret_scan.learn(docs)).count() == 0
+    assert toxicity.score(docs, toxicity.learn(docs, labels)).count() == 0
+    one = docs_of(spark, [(1, "some text")])
+    assert 0 <= toxicity.score(one, toxicity.learn(one, labels)).first()["score"] < 0.5
+
+
+def test_other_queries_stay_without_optional_packages():
+    code = (
+        "import sys\nsys.modules['ahocorasick'] = None\nsys.modules['xxhash'] = None\n"
+        "import warnings; warnings.simplefilter('ignore')\nimport __spark_entry__ as e\n"
+        "assert len(e.queries()) >= 80 and not any(q.startswith('op') for q in e.queries())"
+    )
+    root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
