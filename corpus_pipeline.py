@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchback.llm import bpe, line_dedup, mixing, near_dedup, repetition
+from switchback.llm.common import fresh_name
 from switchback.session import shared_folder
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
-    return repetition.quality(docs, out="__quality").filter("__quality.kept").select(*docs.columns)
+    verdict = fresh_name(docs, "verdict")
+    return repetition.quality(docs, out=verdict).filter(f"`{verdict}`.kept").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
