@@ -45,11 +45,16 @@ def failed_urls(pages: DataFrame, trails: DataFrame) -> DataFrame:
 
 def feature_list(texts: Column, max_len: int = V.FEATURE_MAX_LEN, n: int = V.FEATURE_MAX_COUNT) -> Column:
     """First ``n`` short entries, letter case aside each once, as one text; NULL when there are none."""
+    def listed(both: Column) -> Column:
+        lowered = both["lowered"]
+        keys = F.slice(F.array_distinct(lowered), 1, n)
+        kept = F.transform(keys, lambda k: F.get(both["short"], (F.array_position(lowered, k) - 1).cast("int")))
+        return F.array_join(kept, ", ")
+
+    # each array is made once for a page, not once for each of its entries
     short = F.filter(texts, lambda t: F.length(t) < max_len)
-    lowered = F.transform(short, lambda t: F.lower(t))
-    keys = F.slice(F.array_distinct(lowered), 1, n)
-    kept = F.transform(keys, lambda k: F.get(short, (F.array_position(lowered, k) - 1).cast("int")))
-    return blank_to_null(F.array_join(kept, ", "))
+    both = M.let(short, lambda s: F.struct(s.alias("short"), F.transform(s, lambda t: F.lower(t)).alias("lowered")))
+    return blank_to_null(M.let(both, listed))
 
 
 # ---- shared parts of a page ---------------------------------------------------
