@@ -156,3 +156,39 @@ def with_cells_around(df: DataFrame, lat: Column, lng: Column, radius: float) ->
     bands = bands.withColumn("_east", F.least(F.col("_east"), F.col("_west") + F.col("_n") - 1))
     cells = bands.withColumn("gx", F.explode(F.sequence(F.col("_west"), F.col("_east"))))
     return cells.withColumn("gx", F.pmod("gx", "_n")).drop("_home", "_reach", "_n", "_west", "_east")
+
+
+# A crowded cell is cut in 2 ** level by 2 ** level parts, numbered by row and column inside the cell.
+
+
+def with_subcell(df: DataFrame, lat: Column, lng: Column, radius: float, level: Column) -> DataFrame:
+    """Adds the part (sy, sx) of its cell (gy, gx) that a position lies in; (0, 0) at level 0."""
+    parts = F.pow(F.lit(2.0), level)
+    inside = lambda at, cell: F.least(F.floor((at - cell) * parts), parts - 1).cast("int")
+    columns = _columns(F.col("gy"), radius)
+    across = (lng + F.lit(180.0)) * columns / F.lit(360.0)
+    return df.withColumn("sy", inside(lat / F.lit(_band_height(radius)), F.col("gy"))).withColumn("sx", inside(across, F.floor(across)))
+
+
+def with_subcells_around(df: DataFrame, lat: Column, lng: Column, radius: float, level: Column) -> DataFrame:
+    """One row per part of the row's cell (gy, gx) that can hold a point within ``radius`` of the position.
+
+    ``df`` comes from :func:`with_cells_around` of the same position.
+    """
+    height = _band_height(radius)
+    parts = F.pow(F.lit(2.0), level)
+    first = lambda at: F.floor(F.greatest(F.lit(0.0), at) * parts).cast("int")
+    last = lambda at: F.floor(F.least(F.lit(1.0) - F.lit(1e-12), at) * parts).cast("int")
+    y = lat / F.lit(height) - F.col("gy")
+    edge = F.greatest(F.abs(F.col("gy") - 2), F.abs(F.col("gy") + 3)) * F.lit(height)
+    columns = _columns(F.col("gy"), radius)
+    reach = F.least(_reach(radius, edge), F.lit(180.0)) * columns / F.lit(360.0)
+    across = (lng + F.lit(180.0)) * columns / F.lit(360.0)
+    # the cell's place nearest to the position, around the globe
+    x = across - F.col("gx")
+    x = x - F.round(x / columns) * columns
+    wide = reach * 2 + 1 >= columns
+    rows = df.withColumn("sy", F.explode(F.sequence(first(y - F.lit(1 + 1e-9)), F.greatest(first(y - F.lit(1 + 1e-9)), last(y + F.lit(1 + 1e-9))))))
+    low = F.when(wide, F.lit(0)).otherwise(first(x - reach))
+    high = F.when(wide, parts.cast("int") - 1).otherwise(F.greatest(first(x - reach), last(x + reach)))
+    return rows.withColumn("sx", F.explode(F.sequence(low, high)))

@@ -3,9 +3,11 @@
 Each trail grows its own line: first the way with an end nearest to the
 trailhead, then again and again the unused way with an end nearest to the open
 end of the line (under ``gap`` metres), until the line is long enough or nothing
-connects. One round of growth is one equi-join over all trails at once, so the
-number of jobs depends on the longest chain and never on the number of trails,
-and no task holds all ways around a trailhead.
+connects. Which ends lie near which is found once for the whole map, by one
+join on grid cells; a trail's share of these links is written hashed by (trail,
+open end). A round of growth is then one join that moves the open lines only,
+for all trails at once, so the number of jobs depends on the longest chain and
+never on the number of trails, and no task holds all ways around a trailhead.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from pyspark.sql import functions as F
 from switchback import fixed_values as V
 from switchback.functions import geo
 from switchback.operators.matching import radius_candidates
-from switchback.session import cut_lineage
+from switchback.session import cut_lineage, drop_tables, land_bucketed
 
 _STEP = "array<struct<osm_id:bigint,flip:boolean,drop:boolean>>"
+_AT = ["trail_id", "from_id", "from_flip"]
 
 
 def way_ends(ways: DataFrame) -> DataFrame:
@@ -45,6 +48,24 @@ def way_ends(ways: DataFrame) -> DataFrame:
     return measured.select("osm_id", "length_m", ends).select("osm_id", "length_m", "_e.*")
 
 
+def end_links(ends: DataFrame, gap: float = V.STITCH_GAP_M) -> DataFrame:
+    """Where one can go on: (from_id, from_flip, osm_id, flip, d, drop, added_m).
+
+    A line whose last way was laid as (from_id, from_flip) ends at that way's
+    far end; (osm_id, flip) are the ways with an end under ``gap`` metres from
+    there. ``drop`` leaves the doubled first point away; ``added_m`` is what the
+    line gains. One join on cells over all ends of the map.
+    """
+    tails = ends.select(F.col("osm_id").alias("from_id"), F.col("flip").alias("from_flip"), F.col("far").alias("tail"))
+    tails = geo.with_cells_around(tails, F.col("tail.lat"), F.col("tail.lng"), gap)
+    near = geo.with_cell(ends.drop("far"), F.col("near.lat"), F.col("near.lng"), gap)
+    met = tails.join(near, ["gy", "gx"]).filter(F.col("from_id") != F.col("osm_id"))
+    met = met.withColumn("d", geo.between(F.col("tail"), F.col("near"))).filter(F.col("d") < gap)
+    drop = F.col("d") < V.JOINT_TOLERANCE_M
+    added = F.when(drop, geo.between(F.col("tail"), F.col("after")) + F.col("after_m")).otherwise(F.col("d") + F.col("length_m"))
+    return met.select("from_id", "from_flip", "osm_id", "flip", "d", drop.alias("drop"), added.alias("added_m"))
+
+
 def stitch_trailheads(
     trails: DataFrame,
     candidates: DataFrame,
@@ -64,59 +85,57 @@ def stitch_trailheads(
             * F.lit(V.METRES_PER_MILE)
         ).alias("target_m"),
     )
-    joints = around.join(way_ends(ways), "osm_id").join(heads, "trail_id")
+    ends = cut_lineage(way_ends(ways))
+    joints = around.join(ends.select("osm_id", "flip", "near", "far", "length_m"), "osm_id").join(heads, "trail_id")
     joints = joints.withColumn("head_m", geo.between(F.col("head"), F.col("near")))
     joints = joints.withColumn("end_m", F.least(F.col("head_m"), geo.between(F.col("head"), F.col("far"))))
-    joints = cut_lineage(geo.with_cell(joints.drop("head"), F.col("near.lat"), F.col("near.lng"), gap))
+    joints = cut_lineage(joints.select("trail_id", "osm_id", "flip", "head_m", "end_m", "length_m", "target_m"))
+    # a trail walks on ways around it only
+    own = joints.select("trail_id", "osm_id", "flip", "end_m")
+    here = own.select("trail_id", F.col("osm_id").alias("from_id"), F.col("flip").alias("from_flip"))
+    links = land_bucketed(here.join(end_links(ends, gap), ["from_id", "from_flip"]).join(own, ["trail_id", "osm_id", "flip"]), _AT)
 
     # the way with the nearest end, joined at that end
-    order = F.struct("head_m", "osm_id", "flip")
-    seed = joints.groupBy("trail_id").agg(
-        F.min(F.struct(order, "osm_id", "flip", "far", "length_m", "target_m")).alias("s")
-    )
-    lines = seed.select(
+    seed = joints.groupBy("trail_id").agg(F.min(F.struct("head_m", "osm_id", "flip", "length_m", "target_m")).alias("s"))
+    growing = F.col("line_m") < F.col("target_m") * F.lit(share)
+    lines = cut_lineage(seed.select(
         "trail_id",
+        F.col("s.osm_id").alias("from_id"),
+        F.col("s.flip").alias("from_flip"),
         F.col("s.target_m").alias("target_m"),
         F.array(F.struct(F.col("s.osm_id"), F.col("s.flip"), F.lit(False).alias("drop"))).cast(_STEP).alias("plan"),
-        F.col("s.far").alias("tail"),
         F.col("s.length_m").alias("line_m"),
-        F.lit(True).alias("open"),
-    )
-    growing = F.col("open") & (F.col("line_m") < F.col("target_m") * F.lit(share))
-    lines = cut_lineage(lines.withColumn("open", growing))
+    ).withColumn("open", growing))
+    rounds = [lines]
     for _ in range(max_rounds):
-        if lines.filter("open").isEmpty():
+        going = rounds[-1].filter("open")
+        if going.isEmpty():
             break
-        lines = cut_lineage(_grow(lines, joints, gap).withColumn("open", growing))
-    return lines.select("trail_id", F.posexplode("plan").alias("part_no", "p")).select("trail_id", "part_no", "p.*")
-
-
-def _grow(lines: DataFrame, joints: DataFrame, gap: float) -> DataFrame:
-    """One round: every open line takes its nearest connecting way, or closes."""
-    tails = lines.filter("open").select(
-        "trail_id",
-        "tail",
-        F.transform("plan", lambda p: p["osm_id"]).alias("used"),
-    )
-    tails = geo.with_cells_around(tails, F.col("tail.lat"), F.col("tail.lng"), gap)
-    reach = tails.join(joints.drop("target_m"), ["trail_id", "gy", "gx"])
-    reach = reach.withColumn("d", geo.between(F.col("tail"), F.col("near")))
-    reach = reach.filter((F.col("d") < gap) & ~F.array_contains("used", F.col("osm_id")))
-    chosen = reach.groupBy("trail_id").agg(
-        F.min(F.struct("d", "end_m", "osm_id", "flip", "near", "after", "far", "after_m", "length_m")).alias("c")
-    )
-    c = lambda name: F.col("c." + name)
-    drop = c("d") < V.JOINT_TOLERANCE_M
-    added = F.when(drop, geo.between(F.col("tail"), c("after")) + c("after_m")).otherwise(c("d") + c("length_m"))
-    step = F.array(F.struct(c("osm_id"), c("flip"), drop.alias("drop"))).cast(_STEP)
+        rounds.append(cut_lineage(_grow(going, links).withColumn("open", F.col("open") & growing)))
+    drop_tables(links, joints, ends)
+    # lines that closed in a round, and those still open after the last one
+    closed = [r.filter(~F.col("open")) for r in rounds[:-1]] + [rounds[-1]]
+    plans = closed[0].select("trail_id", "plan")
+    for r in closed[1:]:
+        plans = plans.unionByName(r.select("trail_id", "plan"))
+    return plans.select("trail_id", F.posexplode("plan").alias("part_no", "p")).select("trail_id", "part_no", "p.*")
+
+
+def _grow(lines: DataFrame, links: DataFrame) -> DataFrame:
+    """One round: every line takes its nearest connecting way, or closes."""
+    used = F.transform("plan", lambda p: p["osm_id"])
+    reach = lines.select(*_AT, used.alias("used")).join(links, _AT).filter(~F.array_contains("used", F.col("osm_id")))
+    chosen = reach.groupBy(*_AT).agg(F.min(F.struct("d", "end_m", "osm_id", "flip", "drop", "added_m")).alias("c"))
+    step = F.array(F.struct("c.osm_id", "c.flip", "c.drop")).cast(_STEP)
     grown = F.col("c").isNotNull()
-    return lines.join(chosen, "trail_id", "left").select(
+    return lines.join(chosen, _AT, "left").select(
         "trail_id",
+        F.when(grown, F.col("c.osm_id")).otherwise(F.col("from_id")).alias("from_id"),
+        F.when(grown, F.col("c.flip")).otherwise(F.col("from_flip")).alias("from_flip"),
         "target_m",
         F.when(grown, F.concat("plan", step)).otherwise(F.col("plan")).alias("plan"),
-        F.when(grown, c("far")).otherwise(F.col("tail")).alias("tail"),
-        F.when(grown, F.col("line_m") + added).otherwise(F.col("line_m")).alias("line_m"),
-        (F.col("open") & grown).alias("open"),
+        F.when(grown, F.col("line_m") + F.col("c.added_m")).otherwise(F.col("line_m")).alias("line_m"),
+        grown.alias("open"),
     )
 
 

@@ -22,45 +22,51 @@ def matchable(trails: DataFrame) -> DataFrame:
     return trails.filter(known & F.col("name").isNotNull() & (F.col("name") != ""))
 
 
-def matched_geometry(best: DataFrame, trails: DataFrame, features: DataFrame) -> DataFrame:
-    """Best match with the matched feature's line: (trail_id, ..., feature_tags, points, members)."""
-    shape = features.select(*MT.FEATURE_KEYS, F.col("tags").alias("feature_tags"), "points", "members")
+def matched_facts(best: DataFrame, trails: DataFrame, features: DataFrame) -> DataFrame:
+    """Best matches with what is asked of the feature, without its geometry: (trail_id, ..., osm_name, own_m).
+
+    Name and length are found once per matched feature, not once per trail.
+    """
+    found = features.join(best.select(*MT.FEATURE_KEYS).distinct(), MT.FEATURE_KEYS, "left_semi")
+    facts = found.select(
+        *MT.FEATURE_KEYS, F.try_element_at("tags", F.lit("name")).alias("osm_name"), geo.path_length_m(F.col("points")).alias("own_m")
+    )
     miles = trails.select("trail_id", "lat", "lng", "distance_mi")
-    return best.join(shape, MT.FEATURE_KEYS).join(miles, "trail_id")
+    return best.join(facts, MT.FEATURE_KEYS).join(miles, "trail_id")
 
 
 def too_short(ratio: float = V.STITCH_RATIO) -> Column:
     """A single way much shorter than the trail is worth a try at stitching."""
     miles = F.col("distance_mi")
-    own = geo.path_length_m(F.col("points")) / F.lit(V.METRES_PER_MILE)
-    return (F.col("osm_type") == "way") & (miles != 0) & (own < miles * F.lit(ratio))
+    return (F.col("osm_type") == "way") & (miles != 0) & (F.col("own_m") / F.lit(V.METRES_PER_MILE) < miles * F.lit(ratio))
+
 
+def feature_shape() -> Column:
+    """The name of a matched feature's own line."""
+    return F.concat_ws(":", "osm_type", F.col("osm_id").cast("string"))
 
-def apply_stitch(matched: DataFrame, candidates: DataFrame, ratio: float = V.STITCH_RATIO) -> tuple[DataFrame, DataFrame]:
-    """Replaces short single ways by a stitched line where that is longer.
 
-    Returns the matches with final ``points`` and ``osm_type`` and the ways of
-    the accepted stitched lines. Id, name and confidence stay those of the match.
+def accepted_stitches(matched: DataFrame, candidates: DataFrame, ratio: float = V.STITCH_RATIO) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stitched lines that replace a short single way, where they are longer.
+
+    Returns (trail_id, shape) of the trails, (shape, part_no, osm_id, flip, drop)
+    and (shape, points). A shape is a digest of the ways and turns of a line, so
+    trails with the same line share one, and its points are laid once.
     """
-    short = cut_lineage(matched.filter(F.coalesce(too_short(ratio), F.lit(False))).select("trail_id", "lat", "lng", "distance_mi"))
-    if short.isEmpty():
-        none = short.sparkSession.createDataFrame([], "trail_id string, part_no int, osm_id bigint, flip boolean, drop boolean")
-        return matched, none.withColumn("trail_id", F.col("trail_id").cast(matched.schema["trail_id"].dataType))
-    plan = cut_lineage(stitch_trailheads(short.withColumn("name", F.lit("")), candidates))
-    lines = stitched_lines(plan, candidates).withColumnRenamed("points", "stitched")
-    longer = geo.path_length_m(F.col("stitched")) > geo.path_length_m(F.col("points"))
-    joined = matched.join(lines, "trail_id", "left").withColumn("_use", F.coalesce(longer, F.lit(False)))
-    final = joined.select(
-        *[c for c in matched.columns if c not in ("points", "osm_type")],
-        F.when(F.col("_use"), F.col("stitched")).otherwise(F.col("points")).alias("points"),
-        F.when(F.col("_use"), F.lit("stitched")).otherwise(F.col("osm_type")).alias("osm_type"),
-    )
-    accepted = joined.filter("_use").select("trail_id")
-    return final, plan.join(accepted, "trail_id", "left_semi")
+    asked = cut_lineage(matched.filter(F.coalesce(too_short(ratio), F.lit(False))).select("trail_id", "lat", "lng", "distance_mi", "own_m"))
+    plan = cut_lineage(stitch_trailheads(asked.drop("own_m").withColumn("name", F.lit("")), candidates))
+    steps = F.array_sort(F.collect_list(F.struct("part_no", "osm_id", "flip", "drop")))
+    of_trail = cut_lineage(plan.groupBy("trail_id").agg(F.concat(F.lit("stitched:"), F.sha2(F.to_json(steps), 256)).alias("shape")))
+    told_by = of_trail.groupBy("shape").agg(F.min("trail_id").alias("trail_id"))
+    parts = cut_lineage(plan.join(told_by, "trail_id").drop("trail_id"))
+    lines = cut_lineage(stitched_lines(parts.withColumnRenamed("shape", "trail_id"), candidates).withColumnRenamed("trail_id", "shape"))
+    lengths = lines.select("shape", geo.path_length_m(F.col("points")).alias("line_m"))
+    longer = of_trail.join(lengths, "shape").join(asked.select("trail_id", "own_m"), "trail_id").filter(F.col("line_m") > F.col("own_m"))
+    return cut_lineage(longer.select("trail_id", "shape")), parts, lines
 
 
 def surface_elements(final: DataFrame, plan: DataFrame, features: DataFrame) -> DataFrame:
-    """Ways whose surface counts, as (trail_id, part_no, surface_tag, length_m).
+    """Ways whose surface counts, as (trail_id, part_no, surface_tag, length_m); ``trail_id`` names a line.
 
     The matched way itself; tagged member ways of a relation; the ways of a
     stitched line.
@@ -108,6 +114,10 @@ def enrich_trails(
 ) -> DataFrame:
     """Enrichment columns per trail id for (id, name, latitude, longitude, distance) rows.
 
+    Geometry stays with the lines: length, grade, polyline and surfaces are
+    found once per line that some trail matched, and joined to the trails by
+    the line's name, so no exchange carries points per trail.
+
     Confidence is NULL where no match was attempted and 0 where none was found.
     """
     asked = dedupe_first(
@@ -121,15 +131,25 @@ def enrich_trails(
     tried = matchable(asked)
     candidates = MT.candidate_features(features)
     best = cut_lineage(MT.match_trails(tried, candidates, method))
-    matched = matched_geometry(best, tried, features)
-    final, plan = apply_stitch(matched, candidates)
-    final = cut_lineage(final)
-    mix = MT.surface_mix(surface_elements(final, plan, features))
-    found = final.select(
-        "trail_id", "osm_id", F.try_element_at("feature_tags", F.lit("name")).alias("osm_name"), "osm_type", "match_confidence"
+    matched = cut_lineage(matched_facts(best, tried, features))
+    stitched, parts, lines = accepted_stitches(matched, candidates)
+    final = matched.join(stitched.withColumnRenamed("shape", "_stitched"), "trail_id", "left")
+    final = cut_lineage(final.select(
+        "trail_id", "osm_id", "osm_name", F.when(F.col("_stitched").isNotNull(), F.lit("stitched")).otherwise(F.col("osm_type")).alias("osm_type"),
+        "match_confidence", F.coalesce("_stitched", feature_shape()).alias("shape"),
+    ))
+    # each line that some trail ended up with, once
+    used = final.select(F.col("shape").alias("trail_id")).distinct()
+    own = features.select(feature_shape().alias("trail_id"), "osm_type", F.col("tags").alias("feature_tags"), "points", "members")
+    laid = lines.withColumnRenamed("shape", "trail_id").select(
+        "trail_id", F.lit("stitched").alias("osm_type"), F.create_map().cast("map<string,string>").alias("feature_tags"), "points",
+        F.lit(None).cast(own.schema["members"].dataType).alias("members"),
     )
-    found = found.join(line_features(final, elevations, store_polyline), "trail_id", "left").join(mix, "trail_id", "left")
-    out = tried.select("trail_id").join(found, "trail_id", "left")
+    shapes = cut_lineage(own.unionByName(laid).join(used, "trail_id", "left_semi"))
+    told = parts.withColumnRenamed("shape", "trail_id").join(used, "trail_id", "left_semi")
+    mix = MT.surface_mix(surface_elements(shapes, told, features))
+    of_shape = line_features(shapes, elevations, store_polyline).join(mix, "trail_id", "left").withColumnRenamed("trail_id", "shape")
+    out = tried.select("trail_id").join(final.join(of_shape, "shape", "left"), "trail_id", "left")
     out = out.withColumn("match_confidence", F.coalesce("match_confidence", F.lit(0.0)))
     return out.select(F.col("trail_id").alias("id"), *[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.ENRICHMENT])
 

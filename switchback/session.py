@@ -66,14 +66,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return landed
 
 
+def land_bucketed(df: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """Writes ``df`` hashed by ``keys`` into buckets and reads it back.
+
+    A join on just these keys then moves the other side only, however often it
+    is repeated. The table is listed in the session's catalog under a name of
+    its own, its files lie beside those of ``cut_lineage``.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, path = f"bucketed_{uuid.uuid4().hex}", table_path(spark)
+    writer = df.repartition(count, *keys).write.format("parquet").option("path", path)
+    writer.bucketBy(count, *keys).saveAsTable(name)
+    landed = spark.table(name)
+    landed._table_path, landed._table_name = path, name
+    return landed
+
+
 def drop_tables(*tables: DataFrame) -> None:
-    """Removes tables that ``cut_lineage`` returned, once nothing reads them any more; other DataFrames are left alone.
+    """Removes tables that ``cut_lineage`` or ``land_bucketed`` returned, once nothing reads them any more; other DataFrames are left alone.
 
     What was made of a dropped table has to be written before.
     """
     for df in tables:
-        path = getattr(df, "_table_path", None)
+        path, name, spark = getattr(df, "_table_path", None), getattr(df, "_table_name", None), df.sparkSession
+        if name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         if path:
-            spark = df.sparkSession
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

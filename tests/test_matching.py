@@ -229,3 +229,52 @@ def test_enrichment_states(spark):
     assert (got["2"]["osm_type"], got["2"]["surface_breakdown"], got["2"]["max_grade_p95"]) == ("relation", '{"Gravel": 1.0}', None)
     assert (got["3"]["osm_type"], got["3"]["osm_id"], got["3"]["surface_primary"]) == ("stitched", 3, "Sand")
     assert got["3"]["osm_distance_mi"] == round(metres((47.0, -121.0), (47.012, -121.0)) / 1609.344, 2)
+
+
+def test_parts_of_crowded_cells_lose_no_pair(spark):
+    r = random.Random(21)
+    places = [(46.5, -121.5), (0.0, 0.0), (-33.3, 179.999), (60.0, -180.0), (89.97, 10.0), (-89.99, -170.0)]
+    at = lambda p, s: (max(-90.0, min(90.0, p[0] + r.uniform(-s, s))), (p[1] + r.uniform(-s, s) * 3 + 180) % 360 - 180)
+    heads = [(f"t{i}", "n", *at(places[i % 6], 0.03), 1.0) for i in range(120)]
+    ways = [("way", i, [at(places[i % 6], 0.04) for _ in range(3)]) for i in range(400)]
+    trails = spark.createDataFrame(heads, "trail_id string, name string, lat double, lng double, distance_mi double")
+    features = spark.createDataFrame([(k, i, [{"lat": a, "lng": b} for a, b in p]) for k, i, p in ways], f"osm_type string, osm_id bigint, points {geo.POINTS}")
+    want = {}
+    for t, _, lat, lng, _ in heads:
+        for _, i, points in ways:
+            d = min(metres((lat, lng), p) for p in points)
+            if d <= 2600:
+                want[t, i] = d
+    for crowd in (1, 5, 40, 10**6):
+        found = {(x["trail_id"], x["osm_id"]): x["dist_m"] for x in MT.radius_candidates(trails, features, 2600, crowd).collect()}
+        assert found.keys() == want.keys() and all(abs(found[k] - d) < 1e-6 for k, d in want.items()), crowd
+
+
+def test_one_crowded_cell_is_dealt_to_many_tasks(spark):
+    points = spark.range(40_000).select(F.lit("way").alias("osm_type"), F.col("id").alias("osm_id"), F.array(F.struct((F.rand(1) / 100 + 46.5).alias("lat"), (F.rand(2) / 100 - 121.5).alias("lng"))).alias("points"))
+    vertices = geo.with_cell(points.select("osm_id", F.col("points")[0]["lat"].alias("lat"), F.col("points")[0]["lng"].alias("lng")), F.col("lat"), F.col("lng"), 2600)
+    parts = geo.with_subcell(vertices, F.col("lat"), F.col("lng"), 2600, F.lit(4)).groupBy("gy", "gx", "sy", "sx").count()
+    assert parts.count() >= 40 and parts.agg(F.max("count")).first()[0] < 4000
+    plan = MT.radius_candidates(spark.createDataFrame([("t", "n", 46.505, -121.495, 1.0)], "trail_id string, name string, lat double, lng double, distance_mi double"), points, 2600, 500)
+    assert plan.count() == points.count()  # all lie within the radius
+
+
+def test_a_round_of_growth_moves_the_lines_only(spark):
+    from switchback.operators import stitching as ST
+    from switchback.session import drop_tables, land_bucketed
+
+    links = land_bucketed(spark.createDataFrame([(1, 5, False, 6, True, 3.0, True, 9.0, 2.0)], "trail_id long, from_id long, from_flip boolean, osm_id long, flip boolean, d double, drop boolean, added_m double, end_m double"), ST._AT)
+    lines = spark.createDataFrame([(1, 5, False, 50.0, [(5, False, False)], 4.0, True)], f"trail_id long, from_id long, from_flip boolean, target_m double, plan {ST._STEP}, line_m double, open boolean")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        grown = ST._grow(lines, links)
+        assert [s["osm_id"] for s in grown.first()["plan"]] == [5, 6] and grown.first()["line_m"] == 13.0
+        plan = grown._jdf.queryExecution().optimizedPlan().toString()
+        physical = grown._jdf.queryExecution().executedPlan().toString()
+        scan = [line for line in physical.splitlines() if "Bucketed: true" in line]
+        assert "Relation spark_catalog" in plan and scan, physical
+        above = physical[: physical.index(scan[0])].splitlines()
+        assert not any("Exchange" in line and "hashpartitioning(from_id" in line for line in above[-3:])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        drop_tables(links)

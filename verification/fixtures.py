@@ -100,6 +100,30 @@ SELECT p_partkey AS trail_id, CASE WHEN p_partkey % 3 = 2 THEN 'Trail' ELSE 'Cus
   CAST(-123 AS DOUBLE) + CAST((p_partkey * 104729) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lng,
   CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) / CAST(20 AS DOUBLE) END AS distance_mi
 FROM {part}
+""",
+    # ways laid end to end, five a chain (its number the key of its first one): ends together, 2 m or 40 m apart, or a chain broken after the third; every third way backwards
+    "f_chain_ways": """
+SELECT c_custkey AS id, 'way' AS type, CAST(3 + (c_custkey - c_custkey % 5) % 3 AS INT) AS n,
+  CAST(45 AS DOUBLE) + CAST(((c_custkey - c_custkey % 5) * 7919) % 1500 AS DOUBLE) / CAST(1000 AS DOUBLE)
+    + CAST((c_custkey % 5) * (2 + (c_custkey - c_custkey % 5) % 3) * (1 + (c_custkey - c_custkey % 5) % 2) AS DOUBLE) / CAST(2500 AS DOUBLE)
+    + CAST(c_custkey % 5 AS DOUBLE) * CASE (c_custkey - c_custkey % 5) % 4 WHEN 0 THEN CAST(0 AS DOUBLE) WHEN 1 THEN CAST(2 AS DOUBLE) WHEN 2 THEN CAST(36 AS DOUBLE)
+      ELSE CASE WHEN c_custkey % 5 >= 3 THEN CAST(300 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END / CAST(100000 AS DOUBLE) AS lat0,
+  CAST(-123 AS DOUBLE) + CAST(((c_custkey - c_custkey % 5) * 104729) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE)
+    + CAST((c_custkey % 5) * (2 + (c_custkey - c_custkey % 5) % 3) AS DOUBLE) / CAST(4000 AS DOUBLE) AS lng0,
+  CAST(1 + (c_custkey - c_custkey % 5) % 2 AS INT) AS rise, c_custkey % 3 = 1 AS back,
+  CASE WHEN c_custkey % 5 = 0 THEN 'Chain ' || CAST(c_custkey - c_custkey % 5 AS STRING) || ' Trail' ELSE NULL END AS osm_name,
+  CASE c_custkey % 4 WHEN 0 THEN 'footway' ELSE 'path' END AS highway, CAST(NULL AS STRING) AS route, CAST(NULL AS STRING) AS access,
+  CASE c_custkey % 4 WHEN 0 THEN 'gravel' WHEN 1 THEN ' Dirt ' WHEN 2 THEN 'asphalt' ELSE NULL END AS surface,
+  CASE WHEN c_custkey % 7 = 0 THEN 'hiking' ELSE NULL END AS sac_scale
+FROM {customer}
+""",
+    "f_chain_heads": """
+SELECT p_partkey AS trail_id, CASE WHEN p_partkey % 4 = 3 THEN 'Nowhere' ELSE 'Chain ' || CAST(p_partkey % 290 * 5 AS STRING) END AS name,
+  CASE WHEN p_partkey % 31 = 0 THEN NULL ELSE CAST(45 AS DOUBLE) + CAST(((p_partkey % 290 * 5) * 7919) % 1500 AS DOUBLE) / CAST(1000 AS DOUBLE)
+    - CAST(p_partkey % 5 AS DOUBLE) / CAST(3000 AS DOUBLE) END AS lat,
+  CAST(-123 AS DOUBLE) + CAST(((p_partkey % 290 * 5) * 104729) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lng,
+  CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) / CAST(40 AS DOUBLE) END AS distance_mi
+FROM {part}
 """,
     "f_runs": """
 SELECT 'run_' || CAST(CAST(ts AS DATE) AS STRING) AS run_id, CAST(ts AS DATE) AS started_at, CAST(count(*) AS INT) AS row_count,

@@ -111,6 +111,8 @@ def elements(ways: DataFrame) -> DataFrame:
         (F.col("lng0") + i.cast("double") / F.lit(4000.0)).alias("lon"),
     )
     line = F.transform(F.sequence(F.lit(0), F.col("n") - 1), at)
+    if "back" in ways.columns:
+        line = F.when(F.col("back"), F.reverse(line)).otherwise(line)
     keys = ["name", "highway", "route", "access", "surface", "sac_scale"]
     values = [F.col("osm_name") if k == "name" else F.col(k) for k in keys]
     tags = F.map_from_entries(
@@ -316,7 +318,39 @@ def surface_mix(t):
     return MT.surface_mix(ways)
 
 
-@query("stitch_trailhead")
+STITCHED = f"""
+ends AS (SELECT vx.id AS osm_id, e.flip, e.i AS near_i, e.j AS after_i, e.k AS far_i FROM (SELECT DISTINCT id, n, type FROM vx) vx,
+  LATERAL (SELECT FALSE AS flip, 0 AS i, 1 AS j, n - 1 AS k UNION ALL SELECT TRUE, n - 1, n - 2, 0) e WHERE vx.type = 'way' AND n >= 2),
+placed AS (SELECT e.osm_id, e.flip, a.lat, a.lng, f.lat AS far_lat, f.lng AS far_lng, b.lat AS after_lat, b.lng AS after_lng, ln.m
+  FROM ends e JOIN vx a ON a.type = 'way' AND a.id = e.osm_id AND a.i = e.near_i JOIN vx b ON b.type = 'way' AND b.id = e.osm_id AND b.i = e.after_i
+  JOIN vx f ON f.type = 'way' AND f.id = e.osm_id AND f.i = e.far_i JOIN ln ON ln.type = 'way' AND ln.id = e.osm_id),
+links AS (SELECT x.osm_id AS from_id, x.flip AS from_flip, y.osm_id, y.flip, d, d < {V.JOINT_TOLERANCE_M} AS drop_first,
+    CASE WHEN d < {V.JOINT_TOLERANCE_M} THEN to_after + y.m - first_m ELSE d + y.m END AS added
+  FROM placed x JOIN placed y ON x.osm_id <> y.osm_id AND abs(x.far_lat - y.lat) < 0.002 AND abs(x.far_lng - y.lng) < 0.002,
+  LATERAL (SELECT {Q.hav('x.far_lat', 'x.far_lng', 'y.lat', 'y.lng')} AS d, {Q.hav('x.far_lat', 'x.far_lng', 'y.after_lat', 'y.after_lng')} AS to_after,
+    {Q.hav('y.lat', 'y.lng', 'y.after_lat', 'y.after_lng')} AS first_m) m WHERE d < {V.STITCH_GAP_M}),
+joints AS (SELECT t.trail_id, p.osm_id, p.flip, p.m, {Q.hav('t.lat', 't.lng', 'p.lat', 'p.lng')} AS head_m, {Q.hav('t.lat', 't.lng', 'p.far_lat', 'p.far_lng')} AS other_m,
+    coalesce(CASE WHEN t.distance_mi <> 0 THEN t.distance_mi END, {V.STITCH_DEFAULT_MILES}::DOUBLE) * {V.METRES_PER_MILE} AS target_m
+  FROM pr JOIN placed p ON pr.osm_type = 'way' AND p.osm_id = pr.osm_id JOIN {{f_trailheads}} t ON t.trail_id = pr.trail_id),
+seed AS (SELECT trail_id, arg_min({{'osm_id': osm_id, 'flip': flip, 'm': m, 'target_m': target_m}}, {{'a': head_m, 'b': osm_id, 'c': flip}}) AS s FROM joints GROUP BY trail_id),
+grown AS (SELECT trail_id, 0 AS part_no, s.osm_id AS osm_id, s.flip AS flip, FALSE AS drop_first, s.target_m AS target_m, s.m AS line_m, [s.osm_id] AS used FROM seed
+  UNION ALL
+  SELECT trail_id, part_no + 1, c.osm_id, c.flip, c.drop_first, target_m, line_m + c.added, list_append(used, c.osm_id)
+  FROM (SELECT g.trail_id, g.part_no, g.target_m, g.line_m, g.used,
+      arg_min({{'osm_id': l.osm_id, 'flip': l.flip, 'drop_first': l.drop_first, 'added': l.added}},
+        {{'a': l.d, 'b': least(j.head_m, j.other_m), 'c': l.osm_id, 'd': l.flip}}) AS c
+    FROM grown g JOIN links l ON l.from_id = g.osm_id AND l.from_flip = g.flip
+      JOIN joints j ON j.trail_id = g.trail_id AND j.osm_id = l.osm_id AND j.flip = l.flip
+    WHERE g.line_m < g.target_m * {V.STITCH_TARGET_SHARE} AND g.part_no < {V.STITCH_MAX_ROUNDS} AND NOT list_contains(g.used, l.osm_id)
+    GROUP BY g.trail_id, g.part_no, g.target_m, g.line_m, g.used))"""
+
+
+@query(
+    "stitch_trailhead",
+    f"""WITH RECURSIVE {VERTICES}, {LENGTHS}, {PAIRS}, {STITCHED}
+SELECT g.trail_id, count(*) AS n_ways, CAST(sum(w.n - CAST(g.drop_first AS INT)) AS BIGINT) AS n_points, {Q.rnd('max(g.line_m)', 2)} AS length_m
+FROM grown g JOIN {{f_ways}} w ON w.id = g.osm_id GROUP BY g.trail_id""",
+)
 def stitch_trailhead(t):
     candidates = MT.candidate_features(features(t))
     heads = t.f_trailheads.filter("lat IS NOT NULL")
@@ -324,8 +358,68 @@ def stitch_trailhead(t):
     lines = stitched_lines(plan, candidates)
     parts = plan.groupBy("trail_id").agg(F.count(F.lit(1)).alias("n_ways"))
     return lines.join(parts, "trail_id").select(
-        "trail_id", "n_ways", F.size("points").alias("n_points"), py_round(geo.path_length_m(F.col("points")), 2).alias("length_m")
+        "trail_id", "n_ways", F.size("points").cast("bigint").alias("n_points"), py_round(geo.path_length_m(F.col("points")), 2).alias("length_m")
+    )
+
+
+def chains(sql: str) -> str:
+    """The same text over the ways laid in chains, some backwards, and their trailheads."""
+    turned = "CASE WHEN back THEN n - 1 - i ELSE i END"
+    vertices = VERTICES.replace("CAST(i * rise AS DOUBLE)", f"CAST(({turned}) * rise AS DOUBLE)").replace("CAST(i AS DOUBLE)", f"CAST({turned} AS DOUBLE)")
+    return sql.replace(VERTICES, vertices).replace("{f_ways}", "{f_chain_ways}").replace("{f_trailheads}", "{f_chain_heads}")
+
+
+@query(
+    "stitch_chains",
+    chains(f"""WITH RECURSIVE {VERTICES}, {LENGTHS}, {PAIRS}, {STITCHED}
+SELECT trail_id, part_no, osm_id, flip, drop_first AS drop FROM grown"""),
+)
+def stitch_chains(t):
+    """Every way of every line, with the end it is joined at and whether its first point is left away."""
+    candidates = MT.candidate_features(cut_lineage(MT.read_features(elements(t.f_chain_ways))))
+    return stitch_trailheads(t.f_chain_heads.filter("lat IS NOT NULL"), candidates)
+
+
+ENRICHED = f"""WITH RECURSIVE {VERTICES}, {LENGTHS}, {PAIRS}, {SCORED}, {STITCHED},
+st AS (SELECT trail_id, coalesce(min(tier) FILTER (score >= {V.STOP_SCORE}), 4) AS last FROM sc GROUP BY trail_id),
+rk AS (SELECT sc.*, row_number() OVER (PARTITION BY sc.trail_id ORDER BY score DESC, tier, osm_type DESC, osm_id) AS rank_no
+  FROM sc JOIN st ON st.trail_id = sc.trail_id WHERE tier <= last),
+won AS (SELECT rk.trail_id, rk.osm_type, rk.osm_id, rk.score, ln.m, t.distance_mi, rk.osm_type = 'way' AND rk.distance_mi <> 0 AND ln.m / {V.METRES_PER_MILE} < rk.distance_mi * {V.STITCH_RATIO} AS short
+  FROM rk JOIN ln ON ln.type = rk.osm_type AND ln.id = rk.osm_id JOIN {{f_trailheads}} t ON t.trail_id = rk.trail_id WHERE rank_no = 1),
+line AS (SELECT trail_id, max(line_m) AS line_m FROM grown GROUP BY trail_id),
+kept AS (SELECT won.*, coalesce(short AND line.line_m > won.m + 0.000001::DOUBLE, FALSE) AS longer, line.line_m FROM won LEFT JOIN line ON line.trail_id = won.trail_id),
+part AS (SELECT trail_id, 0 AS part_no, osm_id, m FROM kept WHERE NOT longer
+  UNION ALL SELECT g.trail_id, g.part_no, g.osm_id, ln.m FROM grown g JOIN kept ON kept.trail_id = g.trail_id AND longer JOIN ln ON ln.type = 'way' AND ln.id = g.osm_id),
+lab AS (SELECT trail_id, {Q.lookup('lower(trim(w.surface))', V.SURFACE_TAG_LABELS)} AS label, part_no, part.m FROM part JOIN {{f_ways}} w ON w.id = part.osm_id),
+mix AS (SELECT trail_id, label, sum(m) AS m, min(part_no) AS seen FROM lab WHERE label IS NOT NULL AND m > 0 GROUP BY trail_id, label)
+SELECT 'wta_' || CAST(t.trail_id AS VARCHAR) AS id, kept.osm_id, CASE WHEN longer THEN 'stitched' ELSE kept.osm_type END AS osm_type, w.osm_name,
+  CASE WHEN kept.score IS NULL THEN 0.0::DOUBLE ELSE {Q.rnd('least(1.0::DOUBLE, kept.score)', 3)} END AS match_confidence,
+  {Q.rnd(f'CASE WHEN longer THEN kept.line_m ELSE kept.m END / {V.METRES_PER_MILE}', 2)} AS osm_distance_mi,
+  (SELECT arg_max(label, {{'m': mix.m, 's': -seen}}) FROM mix WHERE mix.trail_id = t.trail_id) AS surface_primary,
+  (SELECT '{{' || string_agg('"' || label || '": ' || regexp_replace(printf('%.2f', mix.m / total.m), '(\\.[0-9])0$', '\\1'), ', ' ORDER BY mix.m DESC, seen) || '}}'
+    FROM mix, (SELECT trail_id, sum(m) AS m FROM mix GROUP BY trail_id) total WHERE mix.trail_id = t.trail_id AND total.trail_id = t.trail_id) AS surface_breakdown
+FROM {{f_trailheads}} t LEFT JOIN kept ON kept.trail_id = t.trail_id LEFT JOIN {{f_ways}} w ON w.id = kept.osm_id WHERE t.lat IS NOT NULL"""
+
+
+def enriched(ways: DataFrame, heads: DataFrame) -> DataFrame:
+    trails = heads.select(
+        F.concat(F.lit("wta_"), F.col("trail_id").cast("string")).alias("id"), "name",
+        F.col("lat").alias("latitude"), F.col("lng").alias("longitude"), F.col("distance_mi").alias("distance"),
     )
+    made = enrich_trails(trails, cut_lineage(MT.read_features(elements(ways))), method="levenshtein", store_polyline=False)
+    return made.select("id", "osm_id", "osm_type", "osm_name", "match_confidence", "osm_distance_mi", "surface_primary", "surface_breakdown")
+
+
+@query("enrich_ways", ENRICHED)
+def enrich_ways(t):
+    """The same job over ways and relations far apart."""
+    return enriched(t.f_ways, t.f_trailheads)
+
+
+@query("enrich_chains", chains(ENRICHED))
+def enrich_chains(t):
+    """The whole enrichment job where most matched ways are too short, so that stitching, its acceptance and the mixed surfaces decide."""
+    return enriched(t.f_chain_ways, t.f_chain_heads)
 
 
 @query(
