@@ -1,9 +1,11 @@
 """Flat view of an HTML page.
 
-``page_nodes`` turns a page into two arrays that stay in the page's row, so
+``page_nodes`` turns a page into arrays that stay in the page's row, so
 extraction needs no shuffle. Elements carry the range of positions they span
-(``pre`` to ``post``); text of an element is the text whose position lies in it.
-Only elements that extraction can ask for are listed.
+(``pre`` to ``post``) and where their text lies: ``n`` entries of the visible
+texts from number ``first`` on, so the text of an element is a slice. A ``dt``
+also knows the text of the next ``dd`` beside it. Only elements that extraction
+can ask for are listed.
 """
 
 from __future__ import annotations
@@ -16,8 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NODES = (
-    "struct<elements:array<struct<pre:int,post:int,parent:int,tag:string,attrs:map<string,string>,text:string>>,"
-    "texts:array<struct<pre:int,text:string,comment:boolean>>>"
+    "struct<elements:array<struct<pre:int,post:int,parent:int,tag:string,attrs:map<string,string>,text:string,"
+    "first:int,n:int,dd_first:int,dd_n:int>>,visible:array<string>,texts:array<string>>"
 )
 KEPT_ATTRIBUTES = {
     "id", "class", "property", "name", "content", "src", "type", "aria-label", "data-rating",
@@ -39,7 +41,8 @@ class _Outline(HTMLParser):
         self.count = 0
         self.open = []  # elements, innermost last
         self.elements = []
-        self.texts = []
+        self.visible = []  # texts a reader sees
+        self.texts = []  # those and comments
 
     def _next(self):
         self.count += 1
@@ -47,7 +50,7 @@ class _Outline(HTMLParser):
 
     def _close(self, depth):
         for element in self.open[depth:]:
-            element["post"] = self.count
+            element["post"], element["n"] = self.count, len(self.visible) - element["first"]
         del self.open[depth:]
 
     def _find(self, tags, stop):
@@ -69,7 +72,7 @@ class _Outline(HTMLParser):
         if "class" in kept:
             kept["class"] = f" {' '.join(kept['class'].split())} "
         parent = self.open[-1]["pre"] if self.open else 0
-        element = {"pre": pre, "post": pre, "parent": parent, "tag": tag, "attrs": kept, "text": None}
+        element = {"pre": pre, "post": pre, "parent": parent, "tag": tag, "attrs": kept, "text": None, "first": len(self.visible), "n": 0}
         self.elements.append(element)
         if tag not in VOID:
             self.open.append(element)
@@ -86,19 +89,27 @@ class _Outline(HTMLParser):
         if self.open and self.open[-1]["tag"] in RAW_TEXT:
             self.open[-1]["text"] = (self.open[-1]["text"] or "") + data
         elif data.strip():
-            self.texts.append({"pre": self._next(), "text": data.strip(), "comment": False})
+            self._next()
+            self.visible.append(data.strip())
+            self.texts.append(data.strip())
 
     def handle_comment(self, data):
         if data.strip():
-            self.texts.append({"pre": self._next(), "text": data.strip(), "comment": True})
+            self._next()
+            self.texts.append(data.strip())
 
     def result(self):
         self._close(0)
         parents = {e["parent"] for e in self.elements if e["tag"] in ("h2", "h3")}
         keep = [e for e in self.elements if e["attrs"] or e["tag"] in KEPT_TAGS or e["pre"] in parents]
-        for e in keep:
+        following = {}  # by parent, the next dd from here on
+        for e in reversed(keep):
             e["attrs"] = list(e["attrs"].items())
-        return {"elements": keep, "texts": self.texts}
+            if e["tag"] == "dd":
+                following[e["parent"]] = e
+            elif e["tag"] == "dt" and (dd := following.get(e["parent"])):
+                e["dd_first"], e["dd_n"] = dd["first"], dd["n"]
+        return {"elements": keep, "visible": self.visible, "texts": self.texts}
 
 
 def outline(page: str | None) -> dict | None:
@@ -112,10 +123,10 @@ def outline(page: str | None) -> dict | None:
 
 _ELEMENT = pa.struct(
     [("pre", pa.int32()), ("post", pa.int32()), ("parent", pa.int32()), ("tag", pa.string()),
-     ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string())]
+     ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()),
+     ("first", pa.int32()), ("n", pa.int32()), ("dd_first", pa.int32()), ("dd_n", pa.int32())]
 )
-_TEXT = pa.struct([("pre", pa.int32()), ("text", pa.string()), ("comment", pa.bool_())])
-_OUTLINE = pa.struct([("elements", pa.list_(_ELEMENT)), ("texts", pa.list_(_TEXT))])
+_OUTLINE = pa.struct([("elements", pa.list_(_ELEMENT)), ("visible", pa.list_(pa.string())), ("texts", pa.list_(pa.string()))])
 
 
 def _outlines(pages: pa.Array) -> pa.Array:
@@ -127,7 +138,7 @@ def page_nodes(page: Column) -> Column:
     return F.arrow_udf(_outlines, NODES).asNondeterministic()(page)
 
 
-# ---- queries over the two arrays ---------------------------------------------
+# ---- queries over the arrays ---------------------------------------------
 
 
 def attr(element: Column, name: str) -> Column:
@@ -151,14 +162,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def text_of(element: Column, texts: Column, sep: str = " ") -> Column:
-    """Visible text of an element, its pieces joined by ``sep``; NULL for a NULL element."""
+def text_at(first: Column, n: Column, visible: Column, sep: str = " ") -> Column:
+    return F.array_join(F.slice(visible, first + 1, n), sep)
 
-    def joined(e: Column) -> Column:
-        pieces = F.filter(texts, lambda t: ~t["comment"] & inside(t, e))
-        return F.when(e.isNotNull(), F.array_join(F.transform(pieces, lambda t: t["text"]), sep))
 
-    return let(element, joined)
+def text_of(element: Column, visible: Column, sep: str = " ") -> Column:
+    """Visible text of an element, its pieces joined by ``sep``; NULL for a NULL element."""
+    return let(element, lambda e: F.when(e.isNotNull(), text_at(e["first"], e["n"], visible, sep)))
 
 
 def first(elements: Column) -> Column:

@@ -62,36 +62,32 @@ def feature_list(texts: Column, max_len: int = V.FEATURE_MAX_LEN, n: int = V.FEA
 
 def with_outline(pages: DataFrame, html: str = "html") -> DataFrame:
     """Adds the parsed arrays and the page-wide texts the field expressions share."""
-    parsed = pages.withColumn("_nodes", M.page_nodes(F.col(html))).select("*", "_nodes.elements", "_nodes.texts").drop("_nodes")
+    parsed = pages.withColumn("_nodes", M.page_nodes(F.col(html))).select("*", "_nodes.elements", "_nodes.visible", "_nodes.texts").drop("_nodes")
     return parsed.withColumns(_shared_parts())
 
 
 @cache
 def _shared_parts() -> dict[str, Column]:
     """Built once per process; the expressions name columns, not a DataFrame."""
-    elements, texts = F.col("elements"), F.col("texts")
-    dts, dds = (F.filter(elements, lambda e: e["tag"] == "dt"), F.filter(elements, lambda e: e["tag"] == "dd"))
-
-    def labelled(dt: Column, dds: Column) -> Column:
-        dd = M.first(F.filter(dds, lambda d: (d["parent"] == dt["parent"]) & (d["pre"] > dt["pre"])))
-        return M.let(
-            dd,
-            lambda d: F.struct(
-                F.lower(M.text_of(dt, texts)).alias("label"),
-                M.text_of(d, texts).alias("value"),
-                M.text_of(d, texts, "").alias("tight"),
-            ),
+    elements, visible = F.col("elements"), F.col("visible")
+    dts = F.filter(elements, lambda e: (e["tag"] == "dt") & e["dd_first"].isNotNull())
+
+    def labelled(dt: Column) -> Column:
+        value = F.slice(visible, dt["dd_first"] + 1, dt["dd_n"])
+        return F.struct(
+            F.lower(M.text_at(dt["first"], dt["n"], visible)).alias("label"),
+            F.array_join(value, " ").alias("value"),
+            F.array_join(value, "").alias("tight"),
         )
 
     def stat_texts(found: Column) -> Column:
-        return F.transform(found, lambda e: M.text_of(e, texts))
+        return F.transform(found, lambda e: M.text_at(e["first"], e["n"], visible))
 
-    visible = F.transform(F.filter(texts, lambda t: ~t["comment"]), lambda t: t["text"])
     listed, single = M.under(elements, "hike-stats", "li"), F.filter(elements, lambda e: M.has_class(e, "hike-stat"))
     scripts = F.filter(elements, lambda e: (e["tag"] == "script") & e["text"].isNotNull())
     linked = F.filter(scripts, lambda e: F.coalesce(M.attr(e, "type") == "application/ld+json", F.lit(False)))
     return {
-        "definitions": M.let(dds, lambda ds: F.filter(F.transform(dts, lambda dt: labelled(dt, ds)), lambda p: p["value"].isNotNull())),
+        "definitions": F.transform(dts, labelled),
         "stat_blocks": stat_texts(F.when(F.size(listed) > 0, listed).otherwise(single)),
         "page_text": F.array_join(visible, " "),
         "page_lines": F.split(F.array_join(visible, "\n"), "\n"),
@@ -129,7 +125,7 @@ def page_name(heading_class: str | None = V.HEADING_CLASS) -> Column:
         h1 = e["tag"] == "h1"
         return h1 & M.has_class(e, heading_class) if heading_class else h1
 
-    return blank_to_null(M.text_of(M.first(F.filter("elements", is_title)), F.col("texts"), ""))
+    return blank_to_null(M.text_of(M.first(F.filter("elements", is_title)), F.col("visible"), ""))
 
 
 def stat(*labels: str) -> Column:
@@ -168,7 +164,7 @@ def description(containers=V.DESCRIPTION_CONTAINERS, min_len: int = V.DESCRIPTIO
 
     found = []
     for kind, name in containers:
-        cleaned = X.clean_noise(M.text_of(box_of(kind, name), F.col("texts")))
+        cleaned = X.clean_noise(M.text_of(box_of(kind, name), F.col("visible")))
         found.append(cleaned)
     ranked = F.transform(F.array(*found), lambda c, i: F.struct(F.length(c).alias("n"), (-i).alias("rank"), c.alias("text")))
     longest = F.array_max(F.filter(ranked, lambda c: c["n"] >= min_len))["text"]
@@ -177,7 +173,7 @@ def description(containers=V.DESCRIPTION_CONTAINERS, min_len: int = V.DESCRIPTIO
 
 
 def raw_features() -> Column:
-    elements, texts = F.col("elements"), F.col("texts")
+    elements, visible = F.col("elements"), F.col("visible")
     having = lambda tag, cls: F.filter(elements, lambda e: (e["tag"] == tag) & M.has_class(e, cls))
     badges = F.concat(
         having("span", "feature-tag"),
@@ -186,16 +182,16 @@ def raw_features() -> Column:
         having("div", "feature-badge"),
         having("div", "hike-feature"),
     )
-    badge_texts = F.filter(F.transform(badges, lambda e: M.text_of(e, texts, "")), lambda t: F.length(t) > 2)
+    badge_texts = F.filter(F.transform(badges, lambda e: M.text_of(e, visible, "")), lambda t: F.length(t) > 2)
     defined = F.filter("definitions", lambda p: F.contains(p["label"], F.lit("feature")))
     section = F.coalesce(
         M.first(F.filter(elements, lambda e: M.has_class(e, "hike-features"))),
         M.first(F.filter(elements, lambda e: M.has_id(e, "hike-features"))),
     )
     lines = F.filter(
-        F.transform(F.split(F.coalesce(M.text_of(section, texts, "\n"), F.lit("")), "\n"), strip), lambda t: t != ""
+        F.transform(F.split(F.coalesce(M.text_of(section, visible, "\n"), F.lit("")), "\n"), strip), lambda t: t != ""
     )
-    spoken = F.filter(F.transform(texts, lambda t: t["text"]), lambda t: t.rlike("(?iU)" + "|".join(V.FEATURE_KEYWORDS)))
+    spoken = F.filter("texts", lambda t: t.rlike("(?iU)" + "|".join(V.FEATURE_KEYWORDS)))
     return (
         F.when(F.size(badge_texts) > 0, feature_list(badge_texts))
         .when(F.size(defined) > 0, blank_to_null(M.first(defined)["value"]))
@@ -208,12 +204,12 @@ def _label_ok(c: Column) -> Column:
 
 
 def difficulty_label() -> Column:
-    elements, texts = F.col("elements"), F.col("texts")
+    elements, visible = F.col("elements"), F.col("visible")
     both = lambda t: F.contains(t, F.lit("difficulty")) & F.contains(t, F.lit("calculated"))
     caption = r"(?iU)calculated\s+difficulty\s*:?\s*"
 
     defined = F.filter("definitions", lambda p: both(p["label"]) & _label_ok(p["tight"]))
-    spare = F.transform(F.filter(elements, lambda e: M.has_class(e, "stat")), lambda e: M.text_of(e, texts))
+    spare = F.transform(F.filter(elements, lambda e: M.has_class(e, "stat")), lambda e: M.text_of(e, visible))
     blocks = F.transform(
         F.filter(_first_of(F.col("stat_blocks"), spare), lambda t: both(F.lower(t))),
         lambda t: strip(F.regexp_replace(t, caption, "")),
@@ -227,7 +223,7 @@ def difficulty_label() -> Column:
         lambda e: e["tag"].isin("span", "div", "button")
         & F.coalesce(F.contains(F.lower(M.attr(e, "aria-label")), F.lit("difficulty")), F.lit(False)),
     )
-    named = F.filter(F.transform(spoken, lambda e: M.text_of(e, texts, "")), _label_ok)
+    named = F.filter(F.transform(spoken, lambda e: M.text_of(e, visible, "")), _label_ok)
 
     def from_line(line: Column, i: Column) -> Column:
         rest = strip(F.regexp_replace(line, "(?iU).*" + caption[5:], ""))
@@ -237,7 +233,7 @@ def difficulty_label() -> Column:
             F.coalesce(F.when(_label_ok(rest) & (rest != "?"), rest), F.when(_label_ok(following), following)),
         )
 
-    badge_text = M.text_of(badge, texts, "")
+    badge_text = M.text_of(badge, visible, "")
     return F.coalesce(
         strip(F.regexp_replace(M.first(defined)["tight"], r"(?U)\s+", " ")),
         M.first(F.filter(blocks, _label_ok)),
@@ -256,7 +252,7 @@ def vote_count(label: Column, page_text: Column) -> Column:
 
 def rating() -> Column:
     """struct(rating, num_votes)."""
-    elements, texts = F.col("elements"), F.col("texts")
+    elements, visible = F.col("elements"), F.col("visible")
     number = lambda c: blank_to_null(c).try_cast("double")
 
     def published(doc: Column) -> Column:
@@ -286,7 +282,7 @@ def rating() -> Column:
             | M.has_class(e, "icon-star-full"),
         )
     )
-    shown = number(F.regexp_extract(M.text_of(_by_class("rating-value", "star-rating", "average-rating"), texts, ""), r"([0-9]+\.?[0-9]*)", 1))
+    shown = number(F.regexp_extract(M.text_of(_by_class("rating-value", "star-rating", "average-rating"), visible, ""), r"([0-9]+\.?[0-9]*)", 1))
     in_range = lambda c: F.when(c.between(0.0, 5.0), c)
     lines = F.transform(
         F.filter("page_lines", lambda t: F.contains(F.lower(t), F.lit("rating"))),
@@ -300,7 +296,7 @@ def rating() -> Column:
         in_range(shown),
         M.first(F.array_compact(lines)),
     )
-    votes = vote_count(M.text_of(_by_class("vote-count", "rating-count", "num-votes"), texts, ""), F.col("page_text"))
+    votes = vote_count(M.text_of(_by_class("vote-count", "rating-count", "num-votes"), visible, ""), F.col("page_text"))
     votes = F.coalesce(votes, F.when(value.isNotNull(), F.lit(0)))
     return F.coalesce(complete, F.struct(value.alias("rating"), votes.alias("num_votes")))
 
@@ -348,16 +344,16 @@ def coords() -> Column:
 
 
 def parking_text() -> Column:
-    elements, texts = F.col("elements"), F.col("texts")
+    elements, visible = F.col("elements"), F.col("visible")
     section = M.first(F.filter(elements, lambda e: M.has_id(e, "hike-getting-there")))
     title = M.first(
         F.filter(
             elements,
-            lambda e: e["tag"].isin("h2", "h3") & F.contains(F.lower(M.text_of(e, texts)), F.lit("getting there")),
+            lambda e: e["tag"].isin("h2", "h3") & F.contains(F.lower(M.text_of(e, visible)), F.lit("getting there")),
         )
     )
     around = M.let(title["parent"], lambda up: M.first(F.filter(elements, lambda e: e["pre"] == up)))
-    return blank_to_null(X.clean_noise(M.text_of(F.coalesce(section, around, title), texts)))
+    return blank_to_null(X.clean_noise(M.text_of(F.coalesce(section, around, title), visible)))
 
 
 # ---- assembly ---------------------------------------------------------------------------

@@ -16,6 +16,10 @@ from switchback.operators.urls import dedupe_first
 from switchback.session import cut_lineage
 
 
+#: A line longer by less than this is the same line, its segments added up in another order.
+LEAST_GAIN_M = 1e-6
+
+
 def matchable(trails: DataFrame) -> DataFrame:
     """Trails with a position and a name; the others are never attempted."""
     known = F.col("lat").isNotNull() & F.col("lng").isNotNull() & ~F.isnan("lat") & ~F.isnan("lng")
@@ -61,7 +65,7 @@ def accepted_stitches(matched: DataFrame, candidates: DataFrame, ratio: float =
     parts = cut_lineage(plan.join(told_by, "trail_id").drop("trail_id"))
     lines = cut_lineage(stitched_lines(parts.withColumnRenamed("shape", "trail_id"), candidates).withColumnRenamed("trail_id", "shape"))
     lengths = lines.select("shape", geo.path_length_m(F.col("points")).alias("line_m"))
-    longer = of_trail.join(lengths, "shape").join(asked.select("trail_id", "own_m"), "trail_id").filter(F.col("line_m") > F.col("own_m"))
+    longer = of_trail.join(lengths, "shape").join(asked.select("trail_id", "own_m"), "trail_id").filter(F.col("line_m") > F.col("own_m") + F.lit(LEAST_GAIN_M))
     return cut_lineage(longer.select("trail_id", "shape")), parts, lines
 
 
