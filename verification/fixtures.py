@@ -59,6 +59,56 @@ SELECT k, id, 'https://trails.example.org/go-hiking/hikes/' || CAST(k AS STRING)
   '<div id="content-core"><p>' || coalesce(description, '') || '<p>Email  the ranger before a long visit, since the gate beside the mill may stay shut all week.</div>' ||
   '</body></html>' AS html
 FROM {f_trails}
+""",
+    # a page a step of a field's rules: what that step reads is the only thing on it, so the step decides
+    "f_step_pages": """
+SELECT k, s, 'https://trails.example.org/go-hiking/hikes/' || CAST(k AS STRING) || '/' AS url,
+  '<html><head>' ||
+  CASE s WHEN 12 THEN '<meta name="description" content="' || prose || '">'
+    WHEN 30 THEN '<script type="application/ld+json">' || chr(123) || '"aggregateRating": ' || chr(123) || '"ratingValue": "4.5", "ratingCount": "' || CAST(k % 50 AS STRING) || '"' || chr(125) || chr(125) || '</script>'
+    WHEN 35 THEN '<meta property="place:location:latitude" content="47.' || n || '"><meta property="place:location:longitude" content="-121.5">'
+    WHEN 36 THEN '<meta name="ICBM" content="46.' || n || ', -120.25">'
+    WHEN 38 THEN '<script type="application/ld+json">' || chr(123) || '"geo": ' || chr(123) || '"latitude": "45.' || n || '", "longitude": "-119.75"' || chr(125) || chr(125) || '</script>'
+    ELSE '' END ||
+  '</head><body><h1 class="documentFirstHeading">' || CASE s WHEN 14 THEN prose ELSE 'Path ' || n END || '</h1>' ||
+  CASE s WHEN 0 THEN '<p>Length</p><p>' || CAST(1 + k % 20 AS STRING) || '.5 miles</p>'
+    WHEN 1 THEN '<p>Gain</p><p>1,' || n || ' ft</p>'
+    WHEN 2 THEN '<dl><dt>Highest Point</dt><dd>4,' || n || ' feet</dd></dl>'
+    WHEN 3 THEN '<div class="hike-stat">High Point 5,' || n || ' ft</div>'
+    WHEN 4 THEN '<p>Highpoint</p><p>6,' || n || ' ft</p>'
+    WHEN 5 THEN '<img src="/p/' || n || '.jpg"><img src="/q.jpg">'
+    WHEN 6 THEN '<div id="content-core"><p>' || prose || '</p></div>'
+    WHEN 7 THEN '<p class="lead documentDescription">' || prose || '</p>'
+    WHEN 8 THEN '<div class="hike-full-description">' || prose || '</div>'
+    WHEN 9 THEN '<div class="hike-body">' || prose || '</div>'
+    WHEN 10 THEN '<article>' || prose || '</article>'
+    WHEN 11 THEN '<div class="documentByLine">' || prose || '</div>'
+    WHEN 13 THEN '<div class="hike-body">' || prose || '</div><article>' || prose || ' Twice.</article>'
+    WHEN 15 THEN '<span class="feature-tag">Gate ' || n || '</span>'
+    WHEN 16 THEN '<ul class="feature-list"><li>Mill ' || n || '</li><li>Barn</li></ul>'
+    WHEN 17 THEN '<div class="feature-badge">Barn ' || n || '</div>'
+    WHEN 18 THEN '<div class="hike-feature">Fence ' || n || '</div>'
+    WHEN 19 THEN '<dl><dt>Features</dt><dd>Dock ' || n || '</dd></dl>'
+    WHEN 20 THEN '<div class="hike-features">Plain ' || n || '<br>Other</div>'
+    WHEN 21 THEN '<div id="hike-features">Lone ' || n || '</div>'
+    WHEN 22 THEN '<p>By the lake ' || n || '</p><p>No such word</p>'
+    WHEN 23 THEN '<div class="stat">Calculated Difficulty: Hard ' || n || '</div>'
+    WHEN 24 THEN '<ul class="hike-stats"><li>Calculated Difficulty <b>Moderate ' || n || '</b></li></ul>'
+    WHEN 25 THEN '<button class="difficulty">Easy ' || n || '</button>'
+    WHEN 26 THEN '<span class="difficulty-badge">Hard ' || n || '</span>'
+    WHEN 27 THEN '<span aria-label="Difficulty level">Medium ' || n || '</span>'
+    WHEN 28 THEN '<p>Calculated Difficulty: Steep ' || n || '</p>'
+    WHEN 29 THEN '<p>Calculated Difficulty</p><p>Gentle ' || n || '</p>'
+    WHEN 31 THEN '<i class="star filled"></i><i class="icon-star-full"></i><i class="star"></i>'
+    WHEN 32 THEN '<b class="average-rating">2.5 of five</b>'
+    WHEN 33 THEN '<p>Our rating: 4 stars so far</p>'
+    WHEN 34 THEN '<i data-rating="1.5"></i><b class="num-votes">' || CAST(k % 90 AS STRING) || ' people</b>'
+    WHEN 37 THEN '<div data-latitude="48.' || n || '" data-longitude="-120.5"></div>'
+    WHEN 39 THEN '<p>Start at 47.' || n || ', -121.54321</p>'
+    WHEN 40 THEN '<div><h2>Getting There</h2>Take road ' || n || ' to the gate.</div>'
+    ELSE '' END || '</body></html>' AS html
+FROM (SELECT p_partkey AS k, p_partkey % 41 AS s, CAST(100 + p_partkey % 900 AS STRING) AS n,
+  'The gate beside the mill may stay shut all week, so visit ' || CAST(p_partkey AS STRING) || ' needs a call to the office first.' AS prose FROM {part}) p
 """,
     "f_sitemap": "SELECT page_id AS pos, url FROM {pages}",
     # pages with a label are the known ones

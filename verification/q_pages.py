@@ -324,6 +324,37 @@ def trail_page_texts(t):
     )
 
 
+@query(
+    "page_steps",
+    """
+WITH v AS (SELECT p_partkey AS k, p_partkey % 41 AS s, CAST(100 + p_partkey % 900 AS VARCHAR) AS n,
+    'The gate beside the mill may stay shut all week, so visit ' || CAST(p_partkey AS VARCHAR) || ' needs a call to the office first.' AS prose FROM {part})
+SELECT 'wta_' || CAST(k AS VARCHAR) AS id, CASE s WHEN 14 THEN prose ELSE 'Path ' || n END AS name,
+  CASE s WHEN 0 THEN CAST(1 + k % 20 AS DOUBLE) + 0.5::DOUBLE END AS distance,
+  CAST(CASE s WHEN 1 THEN '1' || n END AS INTEGER) AS elevation,
+  CAST(CASE s WHEN 2 THEN '4' || n WHEN 3 THEN '5' || n WHEN 4 THEN '6' || n END AS INTEGER) AS highest_point,
+  CASE s WHEN 5 THEN '/p/' || n || '.jpg' END AS image_url,
+  CASE WHEN s BETWEEN 6 AND 12 OR s = 14 THEN prose WHEN s = 13 THEN prose || ' Twice.' END AS description,
+  CASE s WHEN 15 THEN 'Gate ' || n WHEN 16 THEN 'Mill ' || n || ', Barn' WHEN 17 THEN 'Barn ' || n WHEN 18 THEN 'Fence ' || n WHEN 19 THEN 'Dock ' || n
+    WHEN 20 THEN 'Plain ' || n || ', Other' WHEN 21 THEN 'Lone ' || n WHEN 22 THEN 'By the lake ' || n END AS raw_features,
+  CASE s WHEN 23 THEN 'Hard ' || n WHEN 24 THEN 'Moderate ' || n WHEN 25 THEN 'Easy ' || n WHEN 26 THEN 'Hard ' || n WHEN 27 THEN 'Medium ' || n
+    WHEN 28 THEN 'Steep ' || n WHEN 29 THEN 'Gentle ' || n END AS calculated_difficulty,
+  CASE s WHEN 30 THEN 4.5::DOUBLE WHEN 31 THEN 2.0::DOUBLE WHEN 32 THEN 2.5::DOUBLE WHEN 33 THEN 4.0::DOUBLE WHEN 34 THEN 1.5::DOUBLE END AS rating,
+  CAST(CASE s WHEN 30 THEN k % 50 WHEN 31 THEN 0 WHEN 32 THEN 0 WHEN 33 THEN 0 WHEN 34 THEN k % 90 END AS INTEGER) AS num_votes,
+  CAST(CASE s WHEN 35 THEN '47.' || n WHEN 36 THEN '46.' || n WHEN 37 THEN '48.' || n WHEN 38 THEN '45.' || n WHEN 39 THEN '47.' || n END AS DOUBLE) AS latitude,
+  CASE s WHEN 35 THEN -121.5::DOUBLE WHEN 36 THEN -120.25::DOUBLE WHEN 37 THEN -120.5::DOUBLE WHEN 38 THEN -119.75::DOUBLE WHEN 39 THEN -121.54321::DOUBLE END AS longitude,
+  CASE s WHEN 40 THEN 'Getting There Take road ' || n || ' to the gate.' END AS parking
+FROM v
+""",
+)
+def page_steps(t):
+    """Every step of the field rules by itself: the page holds nothing that an earlier step could read."""
+    return P.extract_pages(t.f_step_pages.select("url", "html")).select(
+        "id", "name", "distance", "elevation", "highest_point", "image_url", "description", "raw_features", "calculated_difficulty",
+        "rating", "num_votes", "latitude", "longitude", "parking",
+    )
+
+
 @query(
     "list_crawl_limit",
     f"""
