@@ -40,21 +40,29 @@ def score_features(df: DataFrame, penalty_default: float = V.DIFFICULTY_PENALTY_
     return out.withColumn("gain_per_mile_ft", F.col("gain_ft") / F.col("distance_mi"))
 
 
+#: A quantile sketch of this accuracy is off by at most so many ranks in n: n / SKETCH_ACCURACY.
+SKETCH_ACCURACY = 10_000
+
+
 def exact_medians(df: DataFrame, columns: list[str], buckets: int = 1024) -> dict[str, float | None]:
     """Exact medians (mean of the two middle values) without sorting or gathering the data.
 
-    Every pass counts the values of the current bracket of each column in equal
-    buckets and narrows the bracket to the bucket that holds the middle ranks.
-    A pass returns at most ``buckets`` rows per column; a bracket shrinks a
-    thousandfold per pass, so a few passes are enough.
+    A quantile sketch gives a bracket that holds the middle ranks, of a few in
+    ten thousand of the values, whatever their magnitudes. Every further pass
+    counts the values of each column's bracket in equal buckets and narrows it
+    to the bucket that holds the middle ranks; at most ``buckets`` rows per
+    column return. Should the ranks lie outside of the bracket, it is widened to
+    all values, so the sketch decides the number of passes only.
     """
+    around = F.array(F.lit(0.5 - 2 / SKETCH_ACCURACY), F.lit(0.5 + 2 / SKETCH_ACCURACY))
     summary = df.agg(
         *[F.count(c).alias(f"n_{c}") for c in columns],
         *[F.min(c).alias(f"lo_{c}") for c in columns],
         *[F.max(c).alias(f"hi_{c}") for c in columns],
+        *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"at_{c}") for c in columns],
     ).first()
     medians: dict[str, float | None] = {}
-    brackets = {}  # column -> (low, high, values below, count)
+    brackets = {}  # column -> (low, high, values below or None where they are still to be counted, count)
     for c in columns:
         n, lo, hi = summary[f"n_{c}"], summary[f"lo_{c}"], summary[f"hi_{c}"]
         if n == 0:
@@ -62,10 +70,15 @@ def exact_medians(df: DataFrame, columns: list[str], buckets: int = 1024) -> dic
         elif lo == hi:
             medians[c] = float(lo)
         else:
-            brackets[c] = (lo, hi, 0, n)
+            low, high = summary[f"at_{c}"]
+            brackets[c] = (low, high, None, n)
     while brackets:
         for c, (cells, below, n) in _count_buckets(df, brackets, buckets).items():
             low_rank, high_rank = (n - 1) // 2, n // 2
+            inside = sum(count for count, _, _ in cells)
+            if not below <= low_rank <= high_rank < below + inside:
+                brackets[c] = (summary[f"lo_{c}"], summary[f"hi_{c}"], 0, n)
+                continue
             values = []
             for count, lo, hi in cells:
                 for rank in (low_rank, high_rank):
@@ -86,17 +99,22 @@ def exact_medians(df: DataFrame, columns: list[str], buckets: int = 1024) -> dic
 def _count_buckets(df: DataFrame, brackets: dict, buckets: int) -> dict:
     """Per column: ([(count, min, max) of each bucket in order], values below the bracket, count)."""
     entries = []
-    for c, (lo, hi, _, _) in brackets.items():
+    for c, (lo, hi, below, _) in brackets.items():
         # halves, so that the width of a bracket cannot overflow
-        place = (F.col(c) / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) * F.lit(float(buckets))
+        width = hi / 2 - lo / 2
+        place = (F.col(c) / 2 - F.lit(lo / 2)) / F.lit(width) * F.lit(float(buckets)) if width else F.lit(0.0)
         bucket = F.least(F.floor(place), F.lit(buckets - 1)).cast("int")
-        inside = F.col(c).between(F.lit(lo), F.lit(hi))
-        entries.append(F.when(inside, F.struct(F.lit(c).alias("c"), bucket.alias("b"), F.col(c).alias("v"))))
+        entry = lambda b: F.struct(F.lit(c).alias("c"), b.alias("b"), F.col(c).alias("v"))  # noqa: B023, E731
+        inside = F.when(F.col(c).between(F.lit(lo), F.lit(hi)), entry(bucket))
+        entries.append(inside if below is not None else F.when(F.col(c) < F.lit(lo), entry(F.lit(-1))).otherwise(inside))
     long = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
     counted = long.groupBy("c", "b").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    found = {c: ([], below, n) for c, (_, _, below, n) in brackets.items()}
+    found = {c: ([], below or 0, n) for c, (_, _, below, n) in brackets.items()}
     for r in sorted(counted.collect(), key=lambda r: (r["c"], r["b"])):  # at most `buckets` rows per column
-        found[r["c"]][0].append((r["n"], r["lo"], r["hi"]))
+        if r["b"] < 0:
+            found[r["c"]] = ([], r["n"], found[r["c"]][2])
+        else:
+            found[r["c"]][0].append((r["n"], r["lo"], r["hi"]))
     return found
 
 

@@ -132,4 +132,5 @@ def dedupe_first(df: DataFrame, key: str, order: str, limit: int | None = None)
 
 
 def take_first(df: DataFrame, n: int, order: str) -> DataFrame:
+    """The first ``n`` rows; each task keeps its own first ``n`` and one task merges them, so ``n`` is meant to be small (thousands)."""
     return df.orderBy(order).limit(n)

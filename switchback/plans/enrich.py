@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchback import fixed_values as V
@@ -12,8 +12,10 @@ from switchback.functions.values import py_round
 from switchback.operators import matching as MT
 from switchback.operators import tracks as TR
 from switchback.operators.stitching import stitch_trailheads, stitched_lines
-from switchback.operators.urls import dedupe_first
+from switchback.operators.urls import dedupe_first, take_first
 from switchback.session import cut_lineage
+from switchback.sources.readers import read_trails_csv
+from switchback.sources.writers import write_trails_csv, write_trails_json
 
 
 #: A line longer by less than this is the same line, its segments added up in another order.
@@ -171,3 +173,19 @@ def enrich_export(export: DataFrame, features: DataFrame, elevations: DataFrame
         F.col("wta_distance_mi").alias("distance"),
     )
     return attach_enrichment(export, enrich_trails(trails, features, elevations, **options))
+
+
+def enrich_file(
+    spark: SparkSession, export: str, features: DataFrame, out: str, elevations: DataFrame | None = None, limit: int | None = None, **options
+) -> DataFrame:
+    """A trail export, from file to files: reads it, takes the first ``limit`` rows by id, enriches them, writes ``out``/csv and ``out``/json.
+
+    Returns the written rows. Both outputs hold the same rows; a failure leaves no half of them behind as done,
+    since the rows are landed before either is written.
+    """
+    trails = read_trails_csv(spark, export)
+    asked = trails if limit is None else take_first(trails, limit, "id")
+    made = cut_lineage(enrich_export(asked, features, elevations, **options))
+    write_trails_csv(made, f"{out}/csv")
+    write_trails_json(made, f"{out}/json")
+    return made

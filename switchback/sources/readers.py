@@ -72,23 +72,24 @@ def read_answers(spark: SparkSession, path: str) -> DataFrame:
     A file has one document a line if its first line that is not blank is a whole
     JSON object or any line is an object with ``elements``; each of its lines is
     then an answer of its own, readable or not, and the file is split like any
-    text. Other files are one document and one row each.
+    text. Other files are one document and one row each, so their lines are put
+    together again. What kind a file is, is joined to its lines.
     """
     line = F.trim(F.col("value"))
+    place = F.struct(F.col("block"), F.col("at"))
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
     ).filter(F.regexp_replace("value", r"\s", "") != "")
     closed = F.startswith(line, F.lit("{")) & F.endswith(line, F.lit("}"))
-    known = lines.select(
-        "file", "block", "at",
-        (closed & F.get_json_object(line, "$").isNotNull()).alias("whole"), (closed & F.get_json_object(line, "$.elements").isNotNull()).alias("answer"),
+    found = lines.groupBy("file").agg(
+        F.min_by(F.when(closed, line), place).alias("first"), F.max(closed & F.get_json_object(line, "$.elements").isNotNull()).alias("answer")
     )
-    first = F.min_by("whole", F.struct("block", "at"))
-    kinds = known.groupBy("file").agg((first | F.max("answer")).alias("by_line"))
-    indented = [r["file"] for r in kinds.filter(~F.col("by_line")).select("file").collect()]
-    in_file = F.col("_metadata.file_path").isin(indented)  # other files are not opened whole
-    one_each = spark.read.text(path, wholetext=True).filter(in_file).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("answer"))
-    return lines.filter(~F.col("file").isin(indented)).select("file", F.col("value").alias("answer")).unionByName(one_each)
+    by_line = F.coalesce(F.get_json_object("first", "$").isNotNull(), F.lit(False)) | F.col("answer")
+    kinds = found.select("file", by_line.alias("by_line"))
+    told = lines.join(kinds, "file")
+    one_each = told.filter(~F.col("by_line")).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("block", "at", "value"))).alias("l"))
+    one_each = one_each.select("file", F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("answer"))
+    return told.filter("by_line").select("file", F.col("value").alias("answer")).unionByName(one_each)
 
 
 def from_answers(answers: DataFrame) -> DataFrame:

@@ -23,7 +23,9 @@ def flat_text(df: DataFrame) -> DataFrame:
 
 
 def write_trails_csv(df: DataFrame, path: str) -> None:
-    flat_text(df).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    """Text with a header; white space at the ends of a value is kept."""
+    kept = {"header": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    flat_text(df).write.mode("overwrite").options(**kept).csv(path)
 
 
 def write_trails_json(df: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from switchback import schemas as S
 from switchback.operators import matching as MT
 from switchback.operators import state as ST
 from switchback.operators import urls as U
-from switchback.plans.enrich import enrich_export
+from switchback.plans.enrich import enrich_export, enrich_file
 from switchback.plans.weekly import RunParams, weekly_job
 from switchback.sources import readers as RD
 from switchback.sources import writers as W
@@ -172,6 +172,17 @@ def test_export_enrichment_keeps_all_rows(spark):
     assert got["1"]["osm_id"] == 7 and got["1"]["match_confidence"] > 0.7 and got["2"]["match_confidence"] is None
 
 
+def test_enrichment_from_file_to_files(spark, tmp_path):
+    _, _, features = inputs(spark, {"a": ""})
+    (tmp_path / "t.csv").write_text("id,name,lat,longitude,distance\n3,Later,46,-121,1\n1,Alpha,46,-121,1\n2, spaced ,x,,\n")
+    made = enrich_file(spark, str(tmp_path / "t.csv"), features, str(tmp_path / "out"), limit=2)
+    assert sorted(r["id"] for r in made.collect()) == ["1", "2"]
+    back = {r["id"]: r for r in spark.read.option("header", True).csv(str(tmp_path / "out" / "csv")).collect()}
+    assert back["1"]["osm_id"] == "7" and back["2"]["osm_id"] is None
+    records = {x["id"]: x for x in (json.loads(line) for f in (tmp_path / "out" / "json").glob("*.json") for line in f.read_text().splitlines())}
+    assert records["1"]["osm_id"] == 7 and records["2"]["match_confidence"] is None and len(records) == 2
+
+
 def test_sanitize_and_schema(spark):
     df = spark.createDataFrame([(1.9, 5e9, float("nan"), 1.0)], "rank double, osm_id double, x double, grade_p95 double")
     assert tuple(ST.sanitize(df).first())[:3] == (1, 5000000000, None)

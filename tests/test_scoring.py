@@ -1,4 +1,6 @@
 import random
+
+from pyspark.sql import functions as F
 import statistics
 
 import numpy as np
@@ -6,6 +8,20 @@ import numpy as np
 from switchback.operators import scoring as SC
 
 
+def test_a_wide_column_takes_two_passes_and_a_wrong_sketch_only_more(spark, monkeypatch):
+    rng = random.Random(6)
+    values = [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(4001)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    passes = []
+    count = SC._count_buckets
+    monkeypatch.setattr(SC, "_count_buckets", lambda *a: passes.append(1) or count(*a))
+    assert SC.exact_medians(df, ["v"])["v"] == sorted(values)[2000] and len(passes) == 1  # beside the sketch's own
+    monkeypatch.setattr(SC, "SKETCH_ACCURACY", 5)  # brackets from 0.1 to 0.9
+    assert SC.exact_medians(df, ["v"], 64)["v"] == sorted(values)[2000]
+    monkeypatch.setattr(SC.F, "percentile_approx", lambda c, p, a: F.array(F.max(c), F.max(c)))  # a sketch far off
+    assert SC.exact_medians(df, ["v"])["v"] == sorted(values)[2000]
+
+
 def test_exact_medians(spark):
     rng = random.Random(5)
     columns = {
