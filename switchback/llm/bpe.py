@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from switchback.llm.common import fresh_name, short_batches
 
-#: Entries kept in a task's memo; a full memo is emptied, which changes no result.
-MEMO = 250_000
+#: Entries and bytes of keys and values kept in a task's memo; a full memo is emptied, which changes no result.
+MEMO, MEMO_BYTES = 150_000, 16_000_000
 
 
 class Vocabulary:
@@ -138,12 +138,16 @@ class _Memo(dict):
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.held = make, 0
 
     def __missing__(self, key):
-        if len(self) > MEMO:
+        value = self.make(key)
+        self.held += len(key) + len(value)
+        if len(self) > MEMO or self.held > MEMO_BYTES:
             self.clear()
-        value = self[key] = self.make(key)
+            self.held = len(key) + len(value)
+        if self.held <= MEMO_BYTES:  # one larger than all others together is not kept
+            self[key] = value
         return value
 
 

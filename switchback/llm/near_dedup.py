@@ -7,8 +7,9 @@ with all: those that the anchor C links need no comparison among themselves,
 since components are asked for. Two others, A and B, share at most
 min(|A and C|, |B and C|) shingles of C, so a link of theirs needs a known number
 of shingles outside of C in common. Only pairs of different components that can
-have those, found by their rarest shingles outside of C, are compared too. No
-pair that shares a band is left out but by such an exact bound.
+have those are compared too: they meet by their rarest shingles outside of C, and
+bitmaps of all of these bound how many they share. No pair that shares a band is
+left out but by such an exact bound.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ BANDS, ROWS = 50, 5
 SHINGLE_WORDS, PERCENT = 5, 75
 #: How often shingles that no two components share, and then documents with too few others, are taken out.
 PEELS = 2
+#: Words of 64 bits in which a document's shingles outside of an anchor are marked.
+WORDS = 8
 #: Signatures agree in fewer than 60 of 100 minima with probability below 1e-7 at similarity 0.75.
 LEAST_AGREEMENT = 0.6
 #: Remembered word hashes of a task; a full memo is emptied, which changes no result.
@@ -209,16 +212,24 @@ def beyond_anchors(compared: DataFrame, found: DataFrame, reps: DataFrame, docs:
     made = made.withColumn("must", need(F.col("n"), F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))) - F.col("both"))
     made = cut_lineage(made.filter(F.size("rest") >= F.col("must")))
 
-    rows = made.select("anchor", "doc", "component", "n", F.greatest("must", F.lit(1)).alias("must"), F.explode("rest").alias("h"))
+    rows = made.select("anchor", "doc", "component", "n", "both", F.greatest("must", F.lit(1)).alias("must"), F.explode("rest").alias("h"))
     for _ in range(PEELS):
         shared = rows.groupBy("anchor", "h").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("held"))
         rows = rows.drop("held").join(shared.filter("x < y").select("anchor", "h", "held"), ["anchor", "h"])
         enough = rows.groupBy("anchor", "doc").agg(F.count("*").alias("left"), F.min("must").alias("least")).filter("left >= least")
         rows = cut_lineage(rows.join(enough.select("anchor", "doc"), ["anchor", "doc"]))
     # of so many shared shingles one is among the rarest of each, when that many less one are left away
-    own = rows.groupBy("anchor", "doc", "component", "n").agg(F.array_sort(F.collect_list(F.struct("held", "h"))).alias("of"), F.min("must").alias("must"))
-    rare = own.select("anchor", "doc", "component", "n", F.explode(F.slice("of", F.lit(1), F.size("of") - F.col("must").cast("int") + 1)).alias("r"))
-    rare = cut_lineage(rare.select("anchor", "doc", "component", "n", F.col("r.h").alias("h")))
+    bits = [
+        F.bit_or(F.when(F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(WORDS - 1)) == w, F.expr("shiftleft(1L, cast(h & 63 AS int))")).otherwise(F.lit(0).cast("long"))).alias(f"w{w}")
+        for w in range(WORDS)
+    ]
+    own = rows.groupBy("anchor", "doc", "component", "n").agg(
+        F.array_sort(F.collect_list(F.struct("held", "h"))).alias("of"), F.min("must").alias("must"), F.max("both").alias("both"),
+        F.count("*").alias("size"), *bits,
+    )
+    kept = ["anchor", "doc", "component", "n", "both", "size", *[f"w{w}" for w in range(WORDS)]]
+    rare = own.select(*kept, F.explode(F.slice("of", F.lit(1), F.size("of") - F.col("must").cast("int") + 1)).alias("r"))
+    rare = cut_lineage(rare.select(*kept, F.col("r.h").alias("h")))
 
     def meet(left: DataFrame, right: DataFrame, on: list[str], further: Column) -> DataFrame:
         x, y = left.alias("x"), right.alias("y")
@@ -227,10 +238,17 @@ def beyond_anchors(compared: DataFrame, found: DataFrame, reps: DataFrame, docs:
         pairs = x.join(y, [*same, F.col("x.component") != F.col("y.component"), similar, further])
         return pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"))
 
+    def left_over(a: str, b: str) -> Column:
+        """At most so many shingles outside of C do both have: a bit that only ``a`` has set is a shingle that only ``a`` has."""
+        lone = sum((F.bit_count(F.col(f"{a}.w{w}").bitwiseAND(F.bitwise_not(F.col(f"{b}.w{w}")))) for w in range(1, WORDS)),
+                   F.bit_count(F.col(f"{a}.w0").bitwiseAND(F.bitwise_not(F.col(f"{b}.w0")))))
+        return F.col(f"{a}.size") - lone
+
     inside = made.filter("must <= 0").select("anchor", "doc", "component", "n", "both")  # they may be linked by shingles of C alone
-    enough = need(F.col("x.n"), F.col("y.n")) <= F.least("x.both", "y.both")
+    asked, of_anchor = need(F.col("x.n"), F.col("y.n")), F.least("x.both", "y.both")
     ordered = F.col("x.doc") < F.col("y.doc")
-    return meet(rare, rare, ["anchor", "h"], ordered).unionByName(meet(inside, inside, ["anchor"], enough & ordered)).distinct()
+    outside = asked <= of_anchor + F.least(left_over("x", "y"), left_over("y", "x"))
+    return meet(rare, rare, ["anchor", "h"], ordered & outside).unionByName(meet(inside, inside, ["anchor"], (asked <= of_anchor) & ordered)).distinct()
 
 
 def near_components(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:
