@@ -82,6 +82,16 @@ def upsert(
     return matched.unionByName(new)
 
 
+def replace_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """``source`` whole, and the rows of ``target`` whose key it does not hold.
+
+    What an upsert comes to when ``source`` supplies every column. No row is
+    merged with another, so a key that several source rows hold keeps them all.
+    """
+    kept = target.join(source.select(*keys), keys, "left_anti")
+    return source.select(*target.columns).unionByName(kept)
+
+
 def stamp_version(df: DataFrame, version: str) -> tuple[DataFrame, DataFrame]:
     """All rows under one version, and the number of rows that had another (or none) before."""
     stale = ~F.col("dataset_version").eqNullSafe(F.lit(version))

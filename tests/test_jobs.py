@@ -5,6 +5,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from switchback import schemas as S
 from switchback.operators import matching as MT
 from switchback.operators import state as ST
@@ -113,6 +114,24 @@ def test_upsert(spark):
         ST.upsert(target, source.union(source), ["id"])
 
 
+def test_pages_that_share_an_address_all_get_state_rows(spark, tmp_path):
+    pages = [(1, "https://a"), (2, "https://a"), (13, "https://a"), (4, "https://b"), (5, "https://c"), (6, None)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame([(1,), (2,), (5,)], "doc_id long").write.parquet(str(tmp_path / "labels.parquet"))
+    got = entry.queries()["state_upsert"](spark, str(tmp_path)).collect()
+    # the failed page 13 meets both state rows of its address
+    assert sorted((r["url"] or "", r["last_hash"]) for r in got) == [
+        ("", "h6"), ("https://a", "h1"), ("https://a", "h1"), ("https://a", "h2"), ("https://a", "h2"), ("https://b", "h4"), ("https://c", "h5"),
+    ]
+
+
+def test_replacing_keeps_the_other_rows(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id int, v string")
+    source = spark.createDataFrame([(None, 2), ("c", 3)], "v string, id int")
+    got = ST.replace_rows(target, source, ["id"])
+    assert got.columns == ["id", "v"] and {tuple(r) for r in got.collect()} == {(1, "a"), (2, None), (3, "c"), (None, "n")}
+
+
 def test_stamp_twice(spark):
     df = spark.createDataFrame([(1, None), (2, "old"), (3, "v")], "id int, dataset_version string")
     stamped, marked = ST.stamp_version(df, "v")

@@ -167,7 +167,8 @@ WITH u AS ({STATE_ROWS}) SELECT * FROM u UNION ALL SELECT * FROM {{f_state}} s W
 """,
 )
 def state_upsert(t):
-    return ST.upsert(t.f_state, updates(t), ["url"])
+    """Every update stays: pages may share an address."""
+    return ST.replace_rows(t.f_state, updates(t), ["url"])
 
 
 @query(
