@@ -133,3 +133,20 @@ def test_listing_order_and_limit(spark):
     )
     assert [r["name"] for r in run(2).collect()] == ["b", "a"]
     assert [r["id"] for r in run(9).collect()] == ["wta_b", "wta_a", "wta_c"]
+
+
+def test_a_limited_list_crawl_parses_the_first_pages_only(spark, monkeypatch):
+    from switchback.plans import listing
+
+    link = lambda p: f'<a href="/go-hiking/hikes/{p}">x</a>'
+    # the first pages give no trail, one id comes under two addresses, the later one first in the alphabet
+    names = ["x/empty", "y/empty", "z/same", "a/same"] + [f"n{i:03d}" for i in range(200)]
+    lists = [(1, "".join(map(link, names[:50]))), (2, "".join(map(link, names[50:])))]
+    pages = [(f"https://site.example/go-hiking/hikes/{p}", "<p>none" if "empty" in p else f'<h1 class="documentFirstHeading">{p}</h1>') for p in names]
+    read, extract = [], listing.extract_pages
+    monkeypatch.setattr(listing, "extract_pages", lambda p, c: (read.append(p.count()), extract(p, c))[1])
+    run = lambda n: [r["name"] for r in list_crawl(
+        spark.createDataFrame(lists, "page_no int, html string"), spark.createDataFrame(pages, "url string, html string"), "https://site.example", n
+    ).collect()]
+    assert run(3) == ["z/same", "n000", "n001"] and read == [3, 12]
+    assert run(500) == ["z/same"] + names[4:]
