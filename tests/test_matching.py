@@ -278,3 +278,36 @@ def test_a_round_of_growth_moves_the_lines_only(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         drop_tables(links)
+
+
+def copies(spark, n, miles):
+    """``n`` ways on each of two lines, the second going on from the first, and a trail per distance at one place."""
+    lines = [[(46.0, -121.0), (46.001, -121.0)], [(46.001, -121.0), (46.0015, -121.0005), (46.002, -121.0)]]
+    ways = [(2 * i + k, line) for i in range(n) for k, line in enumerate(lines)]
+    trails = [(f"t{i}", f"n{i}", 45.9995, -121.0, m) for i, m in enumerate(miles)]
+    rows = [("way", i, {"highway": "path", "name": f"w{i}"}, [{"lat": a, "lng": b} for a, b in line], None) for i, line in ways]
+    features = spark.createDataFrame(rows, f"osm_type string, osm_id bigint, tags map<string,string>, points {geo.POINTS}, members {geo.MEMBERS}")
+    df = spark.createDataFrame(trails, "trail_id string, name string, lat double, lng double, distance_mi double")
+    return trails, ways, df, MT.candidate_features(features)
+
+
+def test_copies_of_places_and_lines_are_measured_once(spark):
+    trails, ways, df, candidates = copies(spark, 30, [1.0 + i for i in range(40)])
+    assert MT.reached_shapes(df, MT._feature_shapes(candidates)).count() == 2 * len(trails)
+    pairs = MT.radius_candidates(df, candidates)
+    assert pairs.distinct().count() == pairs.count() == len(trails) * len(ways)
+    # a trail that comes with two places and a way with two lines are one pair, at the least distance
+    two = df.limit(1).union(df.limit(1).withColumn("lat", F.lit(46.0))).union(df.limit(1))
+    found = MT.radius_candidates(two, candidates.withColumn("osm_id", F.lit(7).cast("bigint"))).collect()
+    assert len(found) == 1 and found[0]["dist_m"] == 0.0
+
+
+def test_best_match_neither_sorts_nor_moves_pairs(spark, monkeypatch):
+    _, _, df, candidates = copies(spark, 30, [1.0 + i for i in range(40)])
+    made, landed = [], MT.cut_lineage
+    monkeypatch.setattr(MT, "cut_lineage", lambda top: (made.append(top), landed(top))[1])
+    for method in ("levenshtein", "blocks"):
+        assert MT.match_trails(df, candidates, method).count() == 40
+    for top in made:  # the scan of all pairs ends in a hash aggregate of each task
+        ends = [x for x in top._jdf.queryExecution().executedPlan().toString().splitlines() if "max(score" in x]
+        assert len(ends) == 2 and all("HashAggregate" in x for x in ends)
