@@ -311,3 +311,16 @@ def test_best_match_neither_sorts_nor_moves_pairs(spark, monkeypatch):
     for top in made:  # the scan of all pairs ends in a hash aggregate of each task
         ends = [x for x in top._jdf.queryExecution().executedPlan().toString().splitlines() if "max(score" in x]
         assert len(ends) == 2 and all("HashAggregate" in x for x in ends)
+
+
+def test_copies_of_places_and_ways_are_walked_once(spark, monkeypatch):
+    from switchback.operators import stitching as ST
+
+    trails, ways, df, candidates = copies(spark, 60, [0.0, 0.05, 0.2, 0.7, 1.5, 40.0, None, 0.7])
+    sizes, land = [], ST.land_bucketed
+    monkeypatch.setattr(ST, "land_bucketed", lambda links, keys: (sizes.append(links.count()), land(links, keys))[1])
+    used = {}
+    for r in stitch_trailheads(df.union(df.limit(2)), candidates).orderBy("trail_id", "part_no").collect():
+        used.setdefault(r["trail_id"], []).append(r["osm_id"])
+    assert used == {t[0]: greedy_line(t, ways)[0] for t in trails}
+    assert sizes[0] <= 16 and max(map(len, used.values())) == 51
