@@ -324,3 +324,9 @@ def test_copies_of_places_and_ways_are_walked_once(spark, monkeypatch):
         used.setdefault(r["trail_id"], []).append(r["osm_id"])
     assert used == {t[0]: greedy_line(t, ways)[0] for t in trails}
     assert sizes[0] <= 16 and max(map(len, used.values())) == 51
+
+
+def test_pairs_are_made_in_many_tasks(spark):
+    _, _, df, candidates = copies(spark, 30, [1.0 + i for i in range(40)])
+    pairs = MT.radius_candidates(df, candidates).withColumn("task", F.spark_partition_id())
+    assert pairs.select("task").distinct().count() >= 8
