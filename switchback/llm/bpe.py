@@ -4,7 +4,9 @@ For every prefix of a piece there is one token that its encoding ends with. It
 is the token ending there that is compatible with the last token of the prefix
 before it: the two stay apart when their bytes are merged together. The list of
 last tokens is the whole state, so bytes can be appended exactly, and time is
-linear in the piece whatever it holds.
+linear in the piece whatever it holds. The last token depends on the prefix
+alone, so short pieces share what is known of their beginnings, and only the
+prefixes that their last tokens lead to are looked at.
 """
 
 from __future__ import annotations
@@ -25,7 +27,11 @@ from pyspark.sql import functions as F
 from switchback.llm.common import fresh_name, short_batches
 
 #: Entries and bytes of keys and values kept in a task's memo; a full memo is emptied, which changes no result.
-MEMO, MEMO_BYTES = 150_000, 16_000_000
+MEMO, MEMO_BYTES = 400_000, 16_000_000
+#: Pairs of tokens of which a task keeps whether they stay apart.
+MEMO_PAIRS = 600_000
+#: Bytes of a piece whose prefixes are kept for other pieces.
+SHORT_PIECE = 32
 
 
 class Vocabulary:
@@ -37,6 +43,7 @@ class Vocabulary:
         self.longest = max(map(len, ranks))
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._apart: dict[tuple[int, int], bool] = {}
+        self._last: dict[bytes, int] = {}
 
     @classmethod
     def load(cls, content: bytes) -> Vocabulary:
@@ -72,7 +79,7 @@ class Vocabulary:
         key = (left, right)
         known = self._apart.get(key)
         if known is None:
-            if len(self._apart) > 4 * MEMO:
+            if len(self._apart) > MEMO_PAIRS:
                 self._apart.clear()
             known = self._apart[key] = self._stay(left, right)
         return known
@@ -128,9 +135,44 @@ class Vocabulary:
             at -= len(self.bytes_of[last[at - 1]])
         return ids[::-1]
 
+    def last_of(self, prefix: bytes) -> int:
+        """The last token of a short prefix, from those of the shorter prefixes that its candidates leave."""
+        ranks, known, pairs, end = self.ranks, self._last, self._apart, len(prefix)
+        for begin in range(max(0, end - self.longest), end):  # longest first
+            token = ranks.get(prefix[begin:])
+            if token is None:
+                continue
+            if begin:
+                left = known.get(before := prefix[:begin])
+                if left is None:
+                    left = self.last_of(before)
+                fits = pairs.get((left, token))
+                if fits is None:
+                    fits = self.apart(left, token)
+            else:
+                fits = self.reachable(token)
+            if fits:
+                known[prefix] = token
+                return token
+        raise ValueError("a byte is missing in the vocabulary")
+
+    def encode_short(self, piece: bytes) -> list[int]:
+        if len(self._last) > MEMO:
+            self._last.clear()
+        ids, known, text = [], self._last, self.bytes_of
+        while piece:
+            token = known.get(piece)
+            if token is None:
+                token = self.last_of(piece)
+            ids.append(token)
+            piece = piece[: -len(text[token])]
+        return ids[::-1]
+
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
-        return [whole] if whole is not None else self.walk_back(self.extend(piece, []))
+        if whole is not None:
+            return [whole]
+        return self.encode_short(piece) if len(piece) <= SHORT_PIECE else self.walk_back(self.extend(piece, []))
 
 
 class _Memo(dict):
@@ -160,7 +202,9 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary = vocabulary
-        self.find = regex.compile(pattern).finditer
+        compiled = regex.compile(pattern)
+        self.find = compiled.finditer
+        self.split = (lambda text: [m.group() for m in self.find(text)]) if compiled.groups else compiled.findall
         self.space = regex.compile(r"\s").match
         self.pieces = _Memo(lambda piece: pack(vocabulary.encode_piece(piece.encode())))
         self.chunks = _Memo(self._chunk)
@@ -168,7 +212,7 @@ class Encoder:
     def _chunk(self, chunk: str) -> bytes:
         if not chunk or self.space(chunk):
             raise _OddSpace
-        return self._by_pieces(" " + chunk)
+        return b"".join(map(self.pieces.__getitem__, self.split(" " + chunk)))
 
     def _by_pieces(self, text: str) -> bytes:
         pieces = self.pieces

@@ -258,3 +258,24 @@ def test_prefix_states_extend_and_edits_are_local(spark, encoder):
 def test_digest_of_ids_is_of_little_endian_words(encoder):
     ids = bpe.unpack(encoder.encode("hello world")).tolist()
     assert hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).digest() == hashlib.sha256(encoder.encode("hello world")).digest()
+
+
+def test_words_that_repeat_or_share_a_beginning_are_not_encoded_anew(encoder):
+    ranks, r = encoder.vocabulary.ranks, random.Random(12)
+    stems = ["".join(r.choice("abcdehinorstuéñ") for _ in range(12)) for _ in range(40)]
+    v, forward = bpe.Vocabulary(ranks), bpe.Vocabulary(ranks)
+    scanned = []
+    plain_extend = v.extend
+    v.extend = lambda piece, last: scanned.append(piece) or plain_extend(piece, last)
+    for _ in range(2000):
+        piece = (" " + r.choice(stems) + "".join(r.choice("abcdehinorstuéñ") for _ in range(r.randint(1, 4)))).encode()
+        assert v.encode_piece(piece) == forward.walk_back(forward.extend(piece, []))
+    assert not scanned and len(v._last) < 4 * 2000
+    for n in (bpe.SHORT_PIECE - 1, bpe.SHORT_PIECE, bpe.SHORT_PIECE + 1, 500):
+        piece = bytes(r.choice(b"abcthe") for _ in range(n))
+        assert v.encode_piece(piece) == forward.walk_back(forward.extend(piece, []))
+    # the words of one task's texts stay in the memo
+    memo = bpe._Memo(lambda word: b"1234")
+    for i in range(300_000):
+        memo[f"word{i}"]
+    assert len(memo) == 300_000
