@@ -230,7 +230,17 @@ def term_counts(labelled: DataFrame) -> DataFrame:
     return cut_lineage(words.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")))
 
 
-def learn_terms(counted: DataFrame, sampled: dict[int, int], totals: dict[int, int]) -> list[tuple[str, bool, float]]:
+def label_counts(labelled: DataFrame) -> dict[int, int]:
+    return {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+
+
+def learn_terms(labelled: DataFrame) -> list[tuple[str, bool, float]]:
+    """The terms of ``text, toxic`` rows that stand for themselves alone."""
+    sampled = label_counts(labelled)
+    return terms_of_counts(term_counts(labelled), sampled, sampled)
+
+
+def terms_of_counts(counted: DataFrame, sampled: dict[int, int], totals: dict[int, int]) -> list[tuple[str, bool, float]]:
     """Words and beginnings of words that tell toxic texts, with how far each rules out a clean text as its weight.
 
     ``counted`` are counts in a sample; a clean text of it stands for
@@ -292,9 +302,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[lis
     What a misspelled and a quoted hit count is fixed, not learned.
     """
     labelled, totals = labelled_sample(docs, labels, sample)
-    sampled = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sampled = label_counts(labelled)
     counted = term_counts(labelled)
-    terms = learn_terms(counted, sampled, totals)
+    terms = terms_of_counts(counted, sampled, totals)
     if not terms:
         return [], [-2.0, 0.0, 0.0]
     terms += ordinary_words(counted, sampled, terms)
