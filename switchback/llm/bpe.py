@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from switchback.llm.common import fresh_name, short_batches
 
 #: Entries and bytes of keys and values kept in a task's memo; a full memo is emptied, which changes no result.
-MEMO, MEMO_BYTES = 400_000, 16_000_000
-#: Pairs of tokens of which a task keeps whether they stay apart.
-MEMO_PAIRS = 600_000
+MEMO, MEMO_BYTES = 250_000, 16_000_000
+#: Pairs of tokens of which a task keeps whether they stay apart, and prefixes of which it keeps the last token.
+MEMO_PAIRS = 150_000
 #: Bytes of a piece whose prefixes are kept for other pieces.
 SHORT_PIECE = 32
 
@@ -157,7 +157,7 @@ class Vocabulary:
         raise ValueError("a byte is missing in the vocabulary")
 
     def encode_short(self, piece: bytes) -> list[int]:
-        if len(self._last) > MEMO:
+        if len(self._last) > MEMO_PAIRS:
             self._last.clear()
         ids, known, text = [], self._last, self.bytes_of
         while piece:
@@ -204,15 +204,20 @@ class Encoder:
         self.vocabulary = vocabulary
         compiled = regex.compile(pattern)
         self.find = compiled.finditer
-        self.split = (lambda text: [m.group() for m in self.find(text)]) if compiled.groups else compiled.findall
+        self.split = (lambda text: [m.group() for m in compiled.finditer(text)]) if compiled.groups else compiled.findall
         self.space = regex.compile(r"\s").match
         self.pieces = _Memo(lambda piece: pack(vocabulary.encode_piece(piece.encode())))
-        self.chunks = _Memo(self._chunk)
+        self.chunks = _Memo(self._chunks_by(self.pieces, self.split, self.space))
 
-    def _chunk(self, chunk: str) -> bytes:
-        if not chunk or self.space(chunk):
-            raise _OddSpace
-        return b"".join(map(self.pieces.__getitem__, self.split(" " + chunk)))
+    @staticmethod
+    def _chunks_by(pieces: _Memo, split, space):
+        # without the encoder itself, which so is freed as soon as its task ends, not when cycles are collected
+        def chunk_of(chunk: str) -> bytes:
+            if not chunk or space(chunk):
+                raise _OddSpace
+            return b"".join(map(pieces.__getitem__, split(" " + chunk)))
+
+        return chunk_of
 
     def _by_pieces(self, text: str) -> bytes:
         pieces = self.pieces

@@ -1,8 +1,10 @@
 """Line dedup, rules, fingerprints, chat and tokens against plain versions, with odd inputs."""
 
+import gc
 import hashlib
 import random
 import struct
+import weakref
 
 import pytest
 import xxhash
@@ -260,7 +262,7 @@ def test_digest_of_ids_is_of_little_endian_words(encoder):
     assert hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).digest() == hashlib.sha256(encoder.encode("hello world")).digest()
 
 
-def test_words_that_repeat_or_share_a_beginning_are_not_encoded_anew(encoder):
+def test_words_that_share_a_beginning_are_not_encoded_anew(encoder):
     ranks, r = encoder.vocabulary.ranks, random.Random(12)
     stems = ["".join(r.choice("abcdehinorstuéñ") for _ in range(12)) for _ in range(40)]
     v, forward = bpe.Vocabulary(ranks), bpe.Vocabulary(ranks)
@@ -274,8 +276,15 @@ def test_words_that_repeat_or_share_a_beginning_are_not_encoded_anew(encoder):
     for n in (bpe.SHORT_PIECE - 1, bpe.SHORT_PIECE, bpe.SHORT_PIECE + 1, 500):
         piece = bytes(r.choice(b"abcthe") for _ in range(n))
         assert v.encode_piece(piece) == forward.walk_back(forward.extend(piece, []))
-    # the words of one task's texts stay in the memo
-    memo = bpe._Memo(lambda word: b"1234")
-    for i in range(300_000):
-        memo[f"word{i}"]
-    assert len(memo) == 300_000
+
+
+def test_an_encoder_is_freed_without_collecting_cycles(encoder):
+    gc.disable()
+    try:
+        own = bpe.Encoder(bpe.Vocabulary(encoder.vocabulary.ranks), tokenizers.PATTERN)
+        own.decode(own.encode("some words, " + "ab" * 40))
+        left = weakref.ref(own.vocabulary), weakref.ref(own)
+        del own
+        assert left[0]() is None and left[1]() is None
+    finally:
+        gc.enable()
