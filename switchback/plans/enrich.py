@@ -166,6 +166,14 @@ def attach_enrichment(trails: DataFrame, enriched: DataFrame) -> DataFrame:
     return trails.join(enriched.select("id", *columns), "id", "left")
 
 
+def enrich_all(trails: DataFrame, features: DataFrame, elevations: DataFrame | None = None, **options) -> DataFrame:
+    """As :func:`enrich_trails`, with a row for every id: trails without a position or a name, where no match is attempted, have NULLs."""
+    ids = trails.select(F.col("id").alias("_id")).distinct()
+    enriched = enrich_trails(trails, features, elevations, **options)
+    made = ids.join(enriched, F.col("_id").eqNullSafe(F.col("id")), "left")
+    return made.select(F.col("_id").alias("id"), *[c for c in enriched.columns if c != "id"])
+
+
 def enrich_export(export: DataFrame, features: DataFrame, elevations: DataFrame | None = None, **options) -> DataFrame:
     """Stand-alone enrichment of a typed trail export; a row that cannot be enriched keeps its own columns."""
     trails = export.select(
